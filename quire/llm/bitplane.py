@@ -208,7 +208,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 store, path = fs.FileSystem.from_uri(uri)
-                with store.open_input_stream(path) as f:
+                with store.open_input_stream(path, compression=None) as f:
                     data = f.read()
                 docs, starts, ids, size = [], [], [], 0
                 for d, x in read_file(data):

@@ -47,9 +47,89 @@ def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(text, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _fold(n: int, rest: int):
+    """Whether crc32 of the id, as text, leaves rest modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n)) == rest
+
+
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import tiling
+
+    return tiling.contaminated(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(spark, docs, _table(spark, sf_dir, "labels").where(~_fold(5, 0)))
+    return toxicity.score(docs, model).select("doc_id", _fold(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import embed_sorted
+
+    return embed_sorted.link(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op7_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(spark, docs.where(~_fold(4, 2)))
+    return langid.predict(docs, model).select("doc_id", _fold(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import warc
+
+    pages = warc.resolved(warc.read(spark, warc.write(spark, _table(spark, sf_dir, "pages")), payloads=False))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import surrogates
+
+    docs, key = _table(spark, sf_dir, "documents"), "corpus-key"
+    return surrogates.replace(docs, key, surrogates.attempts(spark, docs, key))
+
+
+def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quire.llm import setsketch
+
+    return setsketch.link(spark, _table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bitplane_tokens, op4_secret_automaton, op5_bpe_tree)}
+    own = (
+        op1_bitplane_tokens, op2_string_tiling, op3_toxicity_trees, op4_secret_automaton, op5_bpe_tree, op6_sorted_projections,
+        op7_language_hierarchy, op8_warc_segments, op9_pii_surrogates, op10_setsketch, pipeline,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """None of these can be told in SQL on whole tables but op8; the others are tested against brute force."""
+    return {"op8_warc_segments": OP8_SQL}
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+b AS (SELECT page_id, payload, unhex(sha1(payload)) AS raw, max(page_id) OVER (PARTITION BY payload) AS head FROM p),
+digits AS (
+  SELECT page_id, payload, head,
+    array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+      (CAST(substr(bits, 1 + i * 5, 5) AS BIT)::INT) AS INT), 1)), '') AS payload_digest
+  FROM (SELECT *, CAST(CAST(raw AS BIT) AS VARCHAR) AS bits FROM b)
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> head THEN head END AS refers_to
+FROM digits
+"""

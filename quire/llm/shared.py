@@ -36,7 +36,7 @@ def put_file(uri: str, data: bytes) -> None:
     store, path = fs.FileSystem.from_uri(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     temporary = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp"
-    with store.open_output_stream(temporary) as out:
+    with store.open_output_stream(temporary, compression=None) as out:
         out.write(data)
     store.move(temporary, path)
 
