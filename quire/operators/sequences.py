@@ -1,0 +1,257 @@
+"""Ordered-text operators: neighbour windows, joined assembly, seams, diff coverage, chunks.
+
+What needs a sequence matcher runs as Arrow-batched pandas functions over bounded pieces (a seam compares eight lines at most); all
+else is windows and array expressions.
+"""
+
+from __future__ import annotations
+
+import difflib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructType
+
+from quire.functions.exprs import content_lines, lines, squash, strip
+
+SEAM = StructType().add("lines", IntegerType()).add("similarity", DoubleType())
+SEAM_LINES = (2, 8)
+SEAM_MEAN, SEAM_LEAST = 0.6, 0.5
+
+
+def page_order(key: str, order: str, position: str | None = None) -> Window:
+    by = [F.coalesce(F.col(order), F.lit(0))]
+    return Window.partitionBy(key).orderBy(*by, *([position] if position else []))
+
+
+def context_window(pages: DataFrame, key: str, order: str, columns: list[str], overlap: int = 1) -> DataFrame:
+    """Each page with the overlap pages before and after it, in order."""
+    w = Window.partitionBy(key).orderBy(order)
+    item = F.struct(*columns)
+    return pages.withColumns({"left_context": F.collect_list(item).over(w.rowsBetween(-overlap, -1)), "right_context": F.collect_list(item).over(w.rowsBetween(1, overlap))})
+
+
+def neighbours(pages: DataFrame, key: str, order: str, page_id: str) -> DataFrame:
+    """The ids of the page before and after; null at the ends."""
+    w = Window.partitionBy(key).orderBy(order)
+    return pages.withColumns({"previous_id": F.lag(page_id).over(w), "next_id": F.lead(page_id).over(w)})
+
+
+def format_context(blocks: Column) -> Column:
+    """Page blocks [id], newline, text, joined by blank lines; (none) without any."""
+    text = F.array_join(F.transform(blocks, lambda b: F.concat(F.lit("["), b["page_id"], F.lit("]\n"), b["text"])), "\n\n")
+    return F.when(F.size(blocks) == 0, "(none)").otherwise(text)
+
+
+def assemble(parts: Column) -> Column:
+    """One text from an ordered array of struct(text, join), where join tells how a part continues the one before.
+
+    hyphenation_repair takes hyphens off the end of what is there and glues nothing, sentence_continuation glues one space, anything
+    else a blank line. Texts are stripped, empty ones are passed over.
+    """
+
+    def step(done: Column, part: Column) -> Column:
+        text = strip(F.coalesce(part["text"], F.lit("")))
+        glued = (
+            F.when(part["join"] == "hyphenation_repair", F.concat(F.regexp_replace(done, "[-¬]+$", ""), text))
+            .when(part["join"] == "sentence_continuation", F.concat(done, F.lit(" "), text))
+            .otherwise(F.concat(done, F.lit("\n\n"), text))
+        )
+        return F.when(text == "", done).when(done == "", text).otherwise(glued)
+
+    return F.aggregate(parts, F.lit(""), step)
+
+
+def assemble_documents(pages: DataFrame, joins: DataFrame, key: str = "doc_id", order: str = "order", text: str = "text") -> DataFrame:
+    """(key, text) from pages and the joins (key, from_page, to_page, join) between neighbours."""
+    w = Window.partitionBy(key).orderBy(order)
+    rows = pages.withColumn("_before", F.lag("page_id").over(w))
+    j = joins.select(key, F.col("from_page").alias("_before"), F.col("to_page").alias("page_id"), "join")
+    rows = rows.join(j, [key, "_before", "page_id"], "left")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("text"), F.col("join").alias("join")))), lambda x: F.struct(x["text"].alias("text"), x["join"].alias("join")))
+    return rows.groupBy(key).agg(parts.alias("_parts")).select(key, assemble(F.col("_parts")).alias("text"))
+
+
+def join_problems(pages: DataFrame, joins: DataFrame, key: str = "doc_id", order: str = "order") -> DataFrame:
+    """Declared joins that do not connect neighbours, or are declared twice."""
+    w = Window.partitionBy(key).orderBy(order)
+    pairs = pages.select(key, F.col("page_id").alias("from_page"), F.lead("page_id").over(w).alias("to_page"))
+    loose = joins.join(pairs, [key, "from_page", "to_page"], "left_anti").select(key, "from_page", "to_page", F.lit("not neighbours").alias("problem"))
+    twice = joins.groupBy(key, "from_page", "to_page").agg(F.count("*").alias("n")).where("n > 1").select(key, "from_page", "to_page", F.lit("declared twice").alias("problem"))
+    return loose.unionByName(twice)
+
+
+def span_pages(pages: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Each span's pages: a range join of page ordinals between from and to, within a document."""
+    s = spans.select(F.col(key).alias("_key"), "span_id", "lo", "hi")
+    return pages.join(s, (pages[key] == s._key) & pages["ord"].between(s.lo, s.hi)).drop("_key")
+
+
+def span_problems(pages: DataFrame, spans: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Spans that run backward or name a page that is not there."""
+    bounds = pages.groupBy(key).agg(F.collect_set("ord").alias("_ords"))
+    j = spans.join(bounds, key, "left")
+    problem = F.when(F.col("lo") > F.col("hi"), "backward").when(~F.coalesce(F.array_contains("_ords", F.col("lo")) & F.array_contains("_ords", F.col("hi")), F.lit(False)), "unknown page")
+    return j.select(key, "span_id", problem.alias("problem")).where("problem is not null")
+
+
+def chunks(records: DataFrame, key: str, order: str, length: Column, most_tokens: int, tokens_a_char: float = 0.35) -> DataFrame:
+    """Equal-count chunks of ordered records: the count of chunks follows the estimated tokens, the last may be short."""
+    whole = Window.partitionBy(key)
+    n, total = F.count("*").over(whole), F.sum(length).over(whole)
+    parts = F.greatest(F.lit(1), F.ceil(F.floor(total * tokens_a_char) / most_tokens))
+    size = F.ceil(n / parts)
+    return records.withColumn("chunk", F.floor((F.row_number().over(whole.orderBy(order)) - 1) / size).cast("int"))
+
+
+def first_wins(rows: DataFrame, value: str, order: list[str], keys: list[str] | None = None) -> DataFrame:
+    """The first row of each lower-cased, stripped value; empty values are dropped."""
+    rows = rows.withColumn("_key", F.lower(strip(F.col(value)))).where("_key <> ''")
+    w = Window.partitionBy(*(keys or []), "_key").orderBy(*order)
+    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_key")
+
+
+def _seam(before: list[str], after: list[str]) -> tuple[int, float] | None:
+    """The greatest number of lines that end one text and begin the next alike."""
+    low, high = SEAM_LINES
+    for k in range(min(high, len(before), len(after)), low - 1, -1):
+        alike = [difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(before[-k:], after[:k], strict=True)]
+        if sum(alike) / k >= SEAM_MEAN and min(alike) >= SEAM_LEAST:
+            return k, round(sum(alike) / k, 3)
+    return None
+
+
+@F.pandas_udf(SEAM)
+def _find_overlap(before: pd.Series, after: pd.Series) -> pd.DataFrame:
+    found = [_seam(list(a) if a is not None else [], list(b) if b is not None else []) for a, b in zip(before, after, strict=True)]
+    return pd.DataFrame({"lines": pd.array([f and f[0] for f in found], "Int32"), "similarity": [f[1] if f else None for f in found]})
+
+
+def find_overlap(before: Column, after: Column) -> Column:
+    """How many of the first content lines of after repeat the end of before (struct of nulls if none).
+
+    Only the last and first eight lines go to the matcher.
+    """
+    last, first = content_lines(F.coalesce(before, F.lit(""))), content_lines(F.coalesce(after, F.lit("")))
+    tail = F.slice(last, F.greatest(F.lit(1), F.size(last) - SEAM_LINES[1] + 1), F.lit(SEAM_LINES[1]))
+    return _find_overlap(F.when(F.size(last) > 0, tail).otherwise(last), F.slice(first, 1, SEAM_LINES[1]))
+
+
+def trim_overlap(text: Column, seam: Column) -> Column:
+    """The text without its first seam lines of content, and what was dropped."""
+    all_ = lines(text)
+    numbered = F.transform(F.sequence(F.lit(0), F.size(all_)), lambda i: F.size(F.filter(F.slice(all_, F.lit(1), i), lambda x: strip(x) != "")))
+    physical = F.size(F.filter(numbered, lambda n: n < seam["lines"]))
+    kept = F.regexp_replace(F.array_join(F.slice(all_, physical + 1, F.size(all_)), "\n"), r"\A\n+", "")
+    dropped = F.array_join(F.slice(all_, F.lit(1), physical), "\n")
+    return F.when(seam["lines"].isNull(), F.struct(text.alias("text"), F.lit("").alias("dropped"))).otherwise(F.struct(kept.alias("text"), dropped.alias("dropped")))
+
+
+def seams(pages: DataFrame, key: str, order: str, text: str) -> DataFrame:
+    """Each page with its seam to the page before: repeated lines, similarity, trimmed text and what was dropped."""
+    w = Window.partitionBy(key).orderBy(order)
+    rows = pages.withColumn("_before", F.lag(text).over(w)).withColumn("seam", find_overlap(F.col("_before"), F.col(text)))
+    return rows.withColumn("trimmed", trim_overlap(F.col(text), F.col("seam"))).drop("_before")
+
+
+def apply_seam(text: Column, dropped: Column) -> Column:
+    """text without the dropped prefix; null where the dropped text is no literal prefix of it."""
+    return F.when(F.coalesce(dropped, F.lit("")) == "", text).when(text.startswith(dropped), F.regexp_replace(F.substring(text, F.length(dropped) + 1, F.length(text)), r"\A\n+", ""))
+
+
+def spans_of(a: str, b: str, autojunk: bool = True) -> list[tuple[str, int, int, int, int]]:
+    """Non-equal opcodes of two strings."""
+    return [x for x in difflib.SequenceMatcher(None, a, b, autojunk).get_opcodes() if x[0] != "equal"]
+
+
+DIFF = ArrayType(StructType().add("base", StringType()).add("alternative", StringType()).add("at", IntegerType()))
+
+
+@F.pandas_udf(DIFF)
+def _diff_spans(base: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series([[{"base": a[i:j], "alternative": b[k:m], "at": i} for _, i, j, k, m in spans_of(a or "", b or "", False)[:6]] for a, b in zip(base, other, strict=True)])
+
+
+def diff_spans(base: Column, other: Column) -> Column:
+    """The first six differing spans of two lines without their white space."""
+    return _diff_spans(squash(base), squash(other))
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _sweep_pairs(a: pd.Series, b: pd.Series) -> pd.Series:
+    out = []
+    for x, y in zip(a, b, strict=True):
+        pairs = [(x[i:j], y[k:m]) for op, i, j, k, m in spans_of(x or "", y or "") if op == "replace" and j - i == 1 and m - k == 1]
+        out.append([p + "\t" + q for p, q in pairs])
+    return pd.Series(out)
+
+
+def sweeps(sections: DataFrame, least: int = 2) -> DataFrame:
+    """One-character replacements made at least so often whose old character still stands in the new texts.
+
+    sections has before and after; the rest is an explode, a count and a sum of what is left.
+    """
+    pair = F.split(F.col("_pair"), "\t")
+    found = sections.select(F.explode(_sweep_pairs("before", "after")).alias("_pair")).select(pair[0].alias("old"), pair[1].alias("new"))
+    found = found.groupBy("old", "new").agg(F.count("*").alias("instances")).where(F.col("instances") >= least)
+    left = sections.select(F.explode(F.split("after", "")).alias("old")).where("old <> ''").groupBy("old").agg(F.count("*").alias("survivors"))
+    return found.join(left, "old")
+
+
+def uncovered(before: str, after: str, anchors: list[str], reach: int = 2) -> list[str]:
+    """Changed spans of a section that no anchored passage covers, on the side that changed; anchors may overlap."""
+    out = []
+    for op, i, j, k, m in spans_of(before, after):
+        side, lo, hi = (before, i, j) if op == "delete" else (after, k, m)
+        inside = False
+        for a in anchors:
+            at = side.find(a) if a else -1
+            while at >= 0 and not inside:
+                inside = at - reach <= lo and hi <= at + len(a) + reach
+                at = side.find(a, at + 1)
+        if not inside:
+            out.append(side[lo:hi])
+    return out
+
+
+def coverage_failures(sections: DataFrame) -> DataFrame:
+    """(doc_id, section, change) of changes without an anchor; sections has before, after and anchors."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(d, s, c) for d, s, b, a, x in f[["doc_id", "section", "before", "after", "anchors"]].itertuples(index=False) for c in uncovered(b or "", a or "", list(x) if x is not None else [])]
+            yield pd.DataFrame(rows, columns=["doc_id", "section", "change"])
+
+    kind = dict(sections.dtypes)
+    return sections.mapInPandas(run, f"doc_id {kind['doc_id']}, section {kind['section']}, change string")
+
+
+def pair_lines(base: list[str], other: list[str], least: float = 0.5) -> dict[int, str]:
+    """Alternate lines for base lines: equal runs one to one, replaced runs by the best monotone pairing of similar lines."""
+    out: dict[int, str] = {}
+    for op, i, j, k, m in difflib.SequenceMatcher(None, base, other, False).get_opcodes():
+        if op == "equal":
+            out |= {i + x: other[k + x] for x in range(j - i)}
+        elif op == "replace":
+            ratio = [[difflib.SequenceMatcher(None, squashed(a), squashed(b), False).ratio() for b in other[k:m]] for a in base[i:j]]
+            best = [[0.0] * (m - k + 1) for _ in range(j - i + 1)]
+            for a in range(j - i - 1, -1, -1):
+                for b in range(m - k - 1, -1, -1):
+                    take = ratio[a][b] + best[a + 1][b + 1] if ratio[a][b] >= least else 0.0
+                    best[a][b] = max(take, best[a + 1][b], best[a][b + 1])
+            a = b = 0
+            while a < j - i and b < m - k:
+                if ratio[a][b] >= least and best[a][b] == ratio[a][b] + best[a + 1][b + 1]:
+                    out[i + a] = other[k + b]
+                    a, b = a + 1, b + 1
+                elif best[a][b] == best[a + 1][b]:
+                    a += 1
+                else:
+                    b += 1
+    return out
+
+
+def squashed(text: str) -> str:
+    return "".join(c for c in text if not c.isspace())

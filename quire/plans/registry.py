@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-FLAGSHIP = "pricing_summary"
+FLAGSHIP = "stage_state_latest"
 
 
 def register(name: str, sql: str | None = None):
