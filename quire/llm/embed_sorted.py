@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import components, stored
+from quire.llm.shared import Forest, components, grouped, links_batch, stored
 
 PASSES = 24
 WINDOW = 32
@@ -91,28 +91,6 @@ def _keys(there: DataFrame, passes: range) -> DataFrame:
     return there.mapInArrow(run, "pass int, dim int, key long, id long, v binary")
 
 
-class Forest:
-    """Union-find over ids; keeps only the links that join two trees."""
-
-    def __init__(self) -> None:
-        self.up: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
-
-    def find(self, x: int) -> int:
-        root = x
-        while (up := self.up.get(root, root)) != root:
-            root = up
-        while x != root:
-            self.up[x], x = root, self.up.get(x, x)
-        return root
-
-    def link(self, a: int, b: int) -> None:
-        x, y = self.find(a), self.find(b)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-            self.links.append((min(a, b), max(a, b)))
-
-
 def _windows(keyed: DataFrame, least: float, window: int) -> DataFrame:
     """Links (a, b) that windows of sorted neighbours give; a task's links are a forest of each pass."""
 
@@ -135,7 +113,7 @@ def _windows(keyed: DataFrame, least: float, window: int) -> DataFrame:
                 x = np.frombuffer(b"".join(batch.column(4).slice(lo, hi - lo).to_pylist())).reshape(-1, group[1])
                 if last is not None and group != last:
                     if forest.links and group[0] != last[0]:
-                        yield _links(forest.links)
+                        yield links_batch(forest.links)
                         forest = Forest()
                     tail_ids = None
                 own, new = ids[lo:hi], 0
@@ -144,17 +122,12 @@ def _windows(keyed: DataFrame, least: float, window: int) -> DataFrame:
                 block(*group, own, x, new, forest)
                 last, tail_ids, tail_x = group, own[-window:], x[-window:]
         if forest.links:
-            yield _links(forest.links)
+            yield links_batch(forest.links)
 
     placed = keyed.repartitionByRange("pass", "dim", "key", "id").sortWithinPartitions("pass", "dim", "key", "id")
     return placed.mapInArrow(run, "a long, b long")
 
 
-def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
-    a, b = zip(*links, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
 def _counts(spark: SparkSession, there: DataFrame, parts: DataFrame, least: float) -> DataFrame:
     """(id, row, n): for each vector of a component how many others of it are linked to it; row tells rows of one id apart."""
     placed = stored(spark, there.join(parts, "id").select("component", "dim", "id", "v", F.xxhash64("id", "v").alias("row")), "members")
@@ -215,22 +188,7 @@ def _counts(spark: SparkSession, there: DataFrame, parts: DataFrame, least: floa
         take = np.r_[q, m]
         return pa.RecordBatch.from_arrays([pa.array(ids[take][n > 0]), pa.array(row[take][n > 0]), pa.array(n[n > 0].astype(np.int64))], ["id", "row", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-        for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy() for c in range(4)])
-            heads = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
-            for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                if held and tuple(keys[lo]) != key:
-                    if (found := compare(held)) is not None:
-                        yield found
-                    held = []
-                key = tuple(keys[lo])
-                held.append(batch.slice(lo, hi - lo))
-        if held and (found := compare(held)) is not None:
-            yield found
-
-    outer = tiles.mapInArrow(run, "id long, row long, n long")
+    outer = tiles.mapInArrow(grouped(4, compare), "id long, row long, n long")
     return inner.unionAll(outer).groupBy("id", "row").agg(F.sum("n").alias("n"))
 
 

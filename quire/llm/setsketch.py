@@ -5,13 +5,17 @@ of the set's i-th exponential hashes x becomes floor(1 - log_b(a x)), cut to 16
 parts' registers, and equal registers are as likely as the sets are similar. So:
 
 1. texts of equal word sequences form one class, whose smallest id stands for it from here on;
-2. groups of registers ("bands") are bucket keys. Every member of a bucket is paired with the bucket's smallest id;
-3. a pair's similarity is estimated by maximum likelihood from how many registers are larger, smaller and equal together with both
-   set sizes; only pairs clearly below the threshold are given up (4.5 standard errors);
-4. the rest is verified on the full shingle sets, and connected components are taken;
-5. what a bucket's members may still share without its smallest id: all pairs of a bucket whose members lie in different
-   components are estimated and verified too, in tiles of bounded size where the bucket is large. So buckets have no cap, and no
-   pair of a bucket is left out: it is in one component already, or estimated, or verified.
+2. groups of registers ("bands") are bucket keys. Every member of a bucket is paired with the bucket's smallest id, and a pair's
+   similarity is estimated by maximum likelihood from how many registers are larger, smaller and equal together with both set sizes.
+   Likely pairs, which are not clearly (4.5 standard errors) below the threshold, tie classes together to neighbourhoods;
+3. what a bucket's members may still share without its smallest id: members of one bucket in different neighbourhoods are compared by
+   their estimates too, in tiles of bounded size where the bucket is large. So every likely pair of any bucket is within one neighbourhood;
+4. the classes of a neighbourhood are verified on their full shingle sets: intersections of all its pairs come from one product of an
+   incidence matrix of the shingles that occur twice. Only a spanning forest of the true links leaves a task;
+5. a neighbourhood of more than TILE classes is cut into blocks. First each block by itself, then the components' smallest members
+   across blocks, and then every member outside the largest component against all members of other components, block by block.
+
+Buckets and neighbourhoods have no cap, and no likely pair is left out.
 
 A pair of the threshold's similarity shares no bucket with a probability of at most 1e-6.
 
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import components, stored
+from quire.llm.shared import Forest, components, grouped, links_batch, stored
 from quire.llm.textcore import SPACE_TABLE, binary_rows, distinct, fmix, sequence_keys, shingles, slices, utf8, words
 
 REGISTERS = 192
@@ -145,73 +149,110 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those with 100 * intersection >= percent * union of their full shingle sets."""
-    pairs = stored(spark, pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(spark, docs.join(needed, "id", "left_semi"), "texts")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, len(batch), 64):
-                part = batch.slice(lo, 64)
-                n, sides = len(part), []
-                for c in (2, 3):
-                    parts = [(so + first, sh) for first, _, _, _, so, sh in _shingle_sets(part.column(c), k)]
-                    sides.append(tuple(np.concatenate(x) for x in zip(*parts, strict=True)))
-                (oa, ha), (ob, hb) = sides
-                o, _ = distinct(np.r_[oa, ob], np.r_[ha, hb])
-                union = np.bincount(o, minlength=n)
-                both = np.bincount(oa, minlength=n) + np.bincount(ob, minlength=n) - union
-                keep = (100 * both >= percent * union) & (union > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-    side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"t_{x}"))
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long").distinct()
-
-
-def _tiled(mixed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs (a, b) of different components within large buckets: blocks of members meet in pairs of blocks."""
+def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Likely pairs (a, b) that tie different neighbourhoods of a large bucket: blocks of members meet in pairs of blocks."""
     cut = cut_of(threshold)
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    cut_up = mixed.withColumn("blocks", F.ceil(F.col("size") / TILE)).withColumn("block", block)
-    cut_up = cut_up.select("bucket", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("other"))
-    cut_up = cut_up.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    full = cut_up.join(classes.select("id", "n", "registers"), "id").select("bucket", "i", "j", "block", "id", "component", "n", "registers")
+    cut_up = placed.withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    cut_up = cut_up.select("bucket", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    full = cut_up.join(classes.select("id", "n", "registers"), "id")
+    full = full.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n", "registers")
 
-    def pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+    def ties(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(rows)
         i, j, block, ids, comp, n = (t.column(c).to_numpy() for c in (1, 2, 3, 4, 5, 6))
         regs = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(t), REGISTERS)
         left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
-        out = []
+        forest, out = Forest(), []
         for x in left:
             y = right[(comp[right] != comp[x]) & (np.minimum(n[right], n[x]) >= threshold * np.maximum(n[right], n[x]))]
-            y = y[ids[y] > ids[x]] if i[0] == j[0] else y
+            y = y[[forest.find(int(c)) != forest.find(int(comp[x])) for c in comp[y]]] if len(y) else y
             if len(y):
-                good = y[likelihood(np.repeat(regs[x : x + 1], len(y), 0), regs[y], np.full(len(y), float(n[x])), n[y].astype(float)) >= cut]
-                out.append((np.minimum(ids[good], ids[x]), np.maximum(ids[good], ids[x])))
-        if not out:
+                for z in y[likelihood(np.repeat(regs[x : x + 1], len(y), 0), regs[y], np.full(len(y), float(n[x])), n[y].astype(float)) >= cut]:
+                    if forest.link(int(comp[x]), int(comp[z])):
+                        out.append((int(ids[x]), int(ids[z])))
+        return links_batch(out) if out else None
+
+    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(grouped(3, ties), "a long, b long")
+
+
+def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Owners and hashes of the distinct shingles of a text column."""
+    parts = [(so + lo, sh) for lo, _, _, _, so, sh in _shingle_sets(column, k)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def true_links(column: pa.Array, k: int, percent: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """For each pair of rows and columns (places in the text column) whether 100 * intersection >= percent * union."""
+    owner, hashes = _sets(column, k)
+    size = np.bincount(owner, minlength=len(column)).astype(np.int64)
+    _, number, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    twice = count[number] > 1
+    owner, number = owner[twice], np.cumsum(count > 1)[number[twice]] - 1
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    both = np.zeros((len(rows), len(columns)), np.float32)
+    top = int(number[-1]) + 1 if len(number) else 0
+    for lo in range(0, top, 4096):
+        a, b = np.searchsorted(number, [lo, lo + 4096])
+        m = np.zeros((len(column), min(4096, top - lo)), np.float32)
+        m[owner[a:b], number[a:b] - lo] = 1
+        both += m[rows] @ m[columns].T
+    both = both.astype(np.int64)
+    union = size[rows][:, None] + size[columns] - both
+    return (100 * both >= percent * union) & (union > 0)
+
+
+def _within(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """A spanning forest (a, b) of the links of each group. rows: part, i, j, side, id, component, text.
+
+    side is 0 for a group whose rows all meet each other; else rows of side 1 meet those of side 2. Rows of one component need no link.
+    """
+
+    def links(batches: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        t = pa.Table.from_batches(batches)
+        side, ids, comp = (t.column(c).to_numpy() for c in (3, 4, 5))
+        left, right = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)
+        if len(left) + len(right) < 2 or not len(left) or not len(right):
             return None
-        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-        for batch in batches:
-            keys = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
-            heads = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
-            for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                if held and tuple(keys[lo]) != key:
-                    if (found := pairs(held)) is not None:
-                        yield found
-                    held = []
-                key = tuple(keys[lo])
-                held.append(batch.slice(lo, hi - lo))
-        if held and (found := pairs(held)) is not None:
-            yield found
-
-    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a long, b long").distinct()
+        forest, out = Forest(), []
+        x, y = np.nonzero(true_links(t.column(6), k, percent, left, right) & (comp[left][:, None] != comp[right]))
+        for a, b in zip(left[x].tolist(), right[y].tolist(), strict=True):
+            if forest.link(int(comp[a]), int(comp[b])):
+                out.append((int(ids[a]), int(ids[b])))
+        return links_batch(out) if out else None
+
+    placed = rows.select(F.col("part"), "i", "j", "side", "id", "component", "text").repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "id")
+    return placed.mapInArrow(grouped(3, links), "a long, b long")
+
+
+def _relabel(spark: SparkSession, rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows (id, component, ...) with their components after more links between ids."""
+    of = lambda x: rows.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}"))
+    over = stored(spark, links.join(of("a"), "a").join(of("b"), "b").select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "links")
+    joined = components(spark, over).select(F.col("id").alias("component"), F.col("component").alias("_low"))
+    return rows.join(joined, "component", "left").withColumn("component", F.coalesce("_low", "component")).drop("_low").select(*rows.columns)
+
+
+def _large(spark: SparkSession, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) of the classes of large neighbourhoods: rows (part, id, component, text), component by blocks already."""
+    blocks = lambda n: F.ceil(F.col(n) / TILE).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n)).cast("int")
+    heads = rows.where("id = component")
+    count = heads.groupBy("part").agg(F.count("*").alias("n"))
+    tiles = heads.join(count, "part").withColumn("blocks", blocks("n")).withColumn("own", place("blocks"))
+    tiles = tiles.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(i == j, 0).when(F.col("own") == i, 1).otherwise(2)
+    links = _within(tiles.select("part", i.alias("i"), j.alias("j"), side.alias("side"), "id", "component", "text"), k, percent)
+    rows = stored(spark, _relabel(spark, rows, links), "large")
+
+    sizes = rows.groupBy("part", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("part").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("x"), F.sum("n").alias("all"))
+    most = most.select("part", (-F.col("x.c")).alias("largest"), "all", (F.col("all") - F.col("x.n")).alias("rest")).where("rest > 0")
+    open_ = rows.join(most, "part").withColumns({"rows": blocks("rest"), "columns": blocks("all")})
+    left = open_.where("component <> largest").select("part", place("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(1).alias("side"), "id", "component", "text")
+    right = open_.select("part", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), place("columns").alias("j"), F.lit(2).alias("side"), "id", "component", "text")
+    return _relabel(spark, rows.select("id", "component"), _within(left.unionAll(right), k, percent))
 
 
 def link(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,30 +262,39 @@ def link(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, do
     there = keyed.where("doc_id is not null and n_shingles > 0")
     classes = there.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n_shingles", "registers")).alias("x"))
     classes = stored(spark, classes.select("k1", "k2", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"), F.col("x.registers").alias("registers")), "classes")
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
 
     banded = bands(classes, rows)
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = stored(spark, banded.join(buckets, "bucket"), "members")
     star = members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    first = stored(spark, _verified(spark, _likely(star, classes, threshold), texts, k, percent), "links")
-    parts = stored(spark, components(spark, first), "components")
+    near = stored(spark, components(spark, stored(spark, _likely(star, classes, threshold), "likely")), "near")
 
-    placed = members.join(parts, "id", "left").select("bucket", "id", "n", "size", F.coalesce("component", "id").alias("component"))
+    placed = members.join(near, "id", "left").select("bucket", "id", "n", "size", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
     placed = stored(spark, placed.join(mixed, "bucket"), "mixed")
     few = placed.where(f"size <= {SMALL}")
     other = few.select("bucket", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    near = few.join(other, "bucket").where(f"id < id2 and component <> component2 and least(n, n2) >= {threshold} * greatest(n, n2)")
-    near = _likely(near.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), classes, threshold)
-    far = _tiled(placed.where(f"size > {SMALL}"), classes, threshold)
-    second = stored(spark, _verified(spark, near.unionAll(far).distinct(), texts, k, percent), "links")
-
-    of = lambda x: parts.select(F.col("id").alias(x), F.col("component").alias(f"c_{x}"))
-    over = second.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    joined = components(spark, over).select(F.col("id").alias("component"), F.col("component").alias("low"))
-    final = classes.select("k1", "k2", "id").join(parts, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component"))
-    final = final.join(joined, "component", "left").select("k1", "k2", F.coalesce("low", "component").alias("component_id"))
+    pairs = few.join(other, "bucket").where(f"id < id2 and component <> component2 and least(n, n2) >= {threshold} * greatest(n, n2)")
+    pairs = _likely(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), classes, threshold)
+    ties = stored(spark, pairs.unionAll(_apart(placed.where(f"size > {SMALL}"), classes, threshold)).distinct(), "ties")
+    near = classes.select("id").join(near, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    near = stored(spark, _relabel(spark, near, ties), "near")
+
+    parts = near.groupBy(F.col("component").alias("part")).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    within = near.select("id", F.col("component").alias("part")).join(parts, "part").select("id", "part", "blocks")
+    within = stored(spark, texts.join(within, "id").dropDuplicates(["id"]), "within").withColumn("component", F.col("id"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    first = _within(within.select("part", block.alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "id", "component", "text"), k, percent)
+    labelled = stored(spark, _relabel(spark, within.select("id", "component"), first), "labelled")
+    small = labelled.join(within.where("blocks = 1").select("id"), "id")
+    large = within.where("blocks > 1").select("part", "id", "text").join(labelled, "id").select("part", "id", "component", "text")
+    if (large := stored(spark, large, "large")).isEmpty():
+        found = small
+    else:
+        found = small.unionAll(_large(spark, large, k, percent))
+    found = stored(spark, found, "components")
+    final = classes.select("k1", "k2", "id").join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
     out = keyed.drop("registers").join(final, ["k1", "k2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))

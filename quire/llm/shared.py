@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,60 @@ def put_file(uri: str, data: bytes) -> None:
     store.move(temporary, path)
 
 
+class Forest:
+    """Union-find over ids; keeps only the links that join two trees."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.up.get(root, root)) != root:
+            root = up
+        while x != root:
+            self.up[x], x = root, self.up.get(x, x)
+        return root
+
+    def link(self, a: int, b: int) -> bool:
+        x, y = self.find(a), self.find(b)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+            self.links.append((min(a, b), max(a, b)))
+        return x != y
+
+
+def links_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Links as rows (a, b)."""
+    a, b = zip(*links, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def grouped(keys: int, of_group: Callable[[list[pa.RecordBatch]], pa.RecordBatch | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow over rows sorted by their first columns (whole numbers): calls of_group with the rows of each key.
+
+    A task holds one group at a time, whatever the number of groups.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            values = np.column_stack([batch.column(c).to_numpy() for c in range(keys)])
+            heads = np.r_[0, np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1, len(values)]
+            for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+                if held and tuple(values[lo]) != key:
+                    if (found := of_group(held)) is not None:
+                        yield found
+                    held = []
+                if hi > lo:
+                    key = tuple(values[lo])
+                    held.append(batch.slice(lo, hi - lo))
+        if held and (found := of_group(held)) is not None:
+            yield found
+
+    return run
+
+
 def components(spark: SparkSession, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(id, component) of every vertex of the edges (a, b): component is its smallest reachable vertex.
 
