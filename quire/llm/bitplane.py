@@ -145,13 +145,30 @@ def _encoder(path: str) -> ChunkCache:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+        for token, number in tokenizer.get_vocab().items():
+            sizes[number] = len(token)  # a byte-level token has a character for each byte
 
         def encode(chunks: list[str]) -> Iterator[bytes]:
-            for lo in range(0, len(chunks), 4096):
-                for x in tokenizer.encode_batch_fast(chunks[lo : lo + 4096], add_special_tokens=False):
-                    yield np.array(x.ids, dtype="<u4").tobytes()
-
-        _encoders[path] = ChunkCache(encode)
+            """Chunks that begin with a space are encoded in rows, which the pre-tokeniser cuts between them, and taken apart by length."""
+            for lo in range(0, len(chunks), 40_000):
+                part = chunks[lo : lo + 40_000]
+                spaced = [x for x in part if x[0] == " "]
+                alone = [x for x in part if x[0] != " "]
+                rows = [spaced[i : i + 200] for i in range(0, len(spaced), 200)]
+                out = {}
+                for row, x in zip(rows, tokenizer.encode_batch_fast(["".join(r) for r in rows], add_special_tokens=False), strict=True):
+                    ids = np.array(x.ids, dtype="<u4")
+                    ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(c.encode()) for c in row])) + 1
+                    raw, at = ids.tobytes(), 0
+                    for c, end in zip(row, ends.tolist(), strict=True):
+                        out[c] = raw[4 * at : 4 * end]
+                        at = end
+                for c, x in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+                    out[c] = np.array(x.ids, dtype="<u4").tobytes()
+                yield from map(out.__getitem__, part)
+
+        _encoders[path] = ChunkCache(encode, most=800_000)
     return _encoders[path]
 
 
