@@ -687,3 +687,6 @@ def unicode_squash(spark, sf):
 def plan_closure(spark, sf):
     edges = table(spark, sf, "nation").where("n_nationkey > n_regionkey").select(F.col("n_regionkey").cast("string").alias("src"), F.col("n_nationkey").cast("string").alias("dst"))
     return line.closure(edges, ["0"])
+
+
+from quire.plans import more_queries  # noqa: E402, F401  (registers them too)
