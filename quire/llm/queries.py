@@ -121,15 +121,15 @@ def oracle_sql() -> dict[str, str]:
 
 OP8_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
-b AS (SELECT page_id, payload, unhex(sha1(payload)) AS raw, max(page_id) OVER (PARTITION BY payload) AS head FROM p),
-digits AS (
-  SELECT page_id, payload, head,
-    array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
-      (CAST(substr(bits, 1 + i * 5, 5) AS BIT)::INT) AS INT), 1)), '') AS payload_digest
-  FROM (SELECT *, CAST(CAST(raw AS BIT) AS VARCHAR) AS bits FROM b)
+b AS (SELECT page_id, payload, CAST(CAST(unhex(sha1(payload)) AS BIT) AS VARCHAR) AS bits, max(page_id) OVER (PARTITION BY payload) AS head FROM p),
+d AS (
+  SELECT page_id, payload, head, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+    + 16 * CAST(substr(bits, 1 + i * 5, 1) AS INT) + 8 * CAST(substr(bits, 2 + i * 5, 1) AS INT) + 4 * CAST(substr(bits, 3 + i * 5, 1) AS INT)
+    + 2 * CAST(substr(bits, 4 + i * 5, 1) AS INT) + CAST(substr(bits, 5 + i * 5, 1) AS INT), 1)), '') AS payload_digest
+  FROM b
 )
 SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> head THEN head END AS refers_to
-FROM digits
+FROM d
 """
