@@ -123,7 +123,8 @@ def payload_of(block: bytes, expected: str) -> bytes:
 def write(spark: SparkSession, pages: DataFrame, least: int = 0, segment: int = SEGMENT, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Writes the archives and returns their manifest (uri, n_records). Payloads of fewer than least bytes are never revisited.
 
-    Copies find their response by a sum per digest, joined to the pages in SALTS parts, so no task gets all copies of a payload.
+    Copies find their response by a sum per digest, joined to the pages in SALTS parts, so no task gets all copies of a payload. The sums
+    are not broadcast: their size has no bound.
     """
     folder = shared_dir(spark, "warc")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
@@ -132,7 +133,7 @@ def write(spark: SparkSession, pages: DataFrame, least: int = 0, segment: int =
     keys = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(html), F.lit("")).alias("html")).select("page_id", *key)
     copies = keys.where(f"page_id is not null and size >= {least}").groupBy("sha", "size").agg(F.max("page_id").alias("head"), F.count("*").alias("n")).where("n > 1")
     copies = copies.select("sha", "size", "head", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    placed = rows.join(copies, ["sha", "size", "salt"], "left").select("page_id", "url", "html", F.when(F.col("head") != F.col("page_id"), F.col("head")).alias("refers_to"))
+    placed = rows.join(copies.hint("merge"), ["sha", "size", "salt"], "left").select("page_id", "url", "html", F.when(F.col("head") != F.col("page_id"), F.col("head")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -242,6 +243,9 @@ def read(spark: SparkSession, manifest: DataFrame, payloads: bool = True) -> Dat
 
 
 def resolved(pages: DataFrame) -> DataFrame:
-    """Pages of read() with each revisit's payload_bytes, taken from the response that it refers to and whose digest it shares."""
+    """Pages of read() with each revisit's payload_bytes, taken from the response that it refers to and whose digest it shares.
+
+    The join may not broadcast: its size would be guessed from the small manifest.
+    """
     head = pages.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("bytes"))
-    return pages.join(head, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("payload_bytes", "bytes")).drop("bytes")
+    return pages.join(head.hint("merge"), ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.coalesce("payload_bytes", "bytes")).drop("bytes")
