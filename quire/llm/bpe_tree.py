@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from quire.llm.chunks import ChunkCache
 from quire.llm.textcore import binary_rows, slices, utf8
 
-LEAF = 6
-#: Short parts and windows remembered at once; a fuller memory is emptied, which costs time only.
-_MEMORY = 400_000
+LEAF = 12
+#: Pieces remembered at once; a fuller memory is emptied, which costs time only.
+_MEMORY = 150_000
 _TASK_BYTES = 2 << 20
 
 
@@ -41,8 +41,14 @@ class TreeBpe:
         self.token = {v: k for k, v in ranks.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces: dict[str, bytes] = {}
-        self.parts: dict[bytes, list[int]] = {}
-        self.cache = ChunkCache(self._chunks)
+        self.cache = ChunkCache(self._chunks, most=250_000)
+        self.kernel = self._merged_long
+        try:
+            import tiktoken
+
+            self.kernel = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        except (ImportError, AttributeError):
+            pass
 
     @classmethod
     def load(cls, path: str, pattern: str) -> TreeBpe:
@@ -50,33 +56,16 @@ class TreeBpe:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of a part or window: the lowest-ranked neighbours merge first, the leftmost of equals."""
+        """Ids of a part or window by merging it as a whole: the lowest-ranked neighbours first, the leftmost of equals.
+
+        The library's kernel for one piece does it where it is there.
+        """
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if (known := self.parts.get(piece)) is not None:
-            return known
-        if len(piece) > 32:
-            return self._merged_long(piece)
-        if len(self.parts) > _MEMORY:
-            self.parts.clear()
-        known = self.parts[piece] = self._merged_short(piece)
-        return known
-
-    def _merged_short(self, piece: bytes) -> list[int]:
-        get, parts = self.ranks.get, [piece[i : i + 1] for i in range(len(piece))]
-        scores = [get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while known := [x for x in scores if x is not None]:
-            i = scores.index(min(known))
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del scores[i]
-            if i:
-                scores[i - 1] = get(parts[i - 1] + parts[i])
-            if i < len(scores):
-                scores[i] = get(parts[i] + parts[i + 1])
-        return [self.ranks[x] for x in parts]
+        return self.kernel(piece) if piece else []
 
     def _merged_long(self, piece: bytes) -> list[int]:
-        """The same with a heap, for windows that have grown long."""
+        """The same in Python, with a heap."""
         get, n = self.ranks.get, len(piece)
         end, prev, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
