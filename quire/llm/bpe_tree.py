@@ -164,7 +164,10 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
-                raw = [bpe.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(1)]
+                ids = part.column(1)
+                values, ends = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
+                there = ids.is_valid().to_pylist()
+                raw = [bpe.decode(values[a:b].tolist()) if ok else b"" for a, b, ok in zip(ends, ends[1:], there, strict=False)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), binary_rows(np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw]))], ["doc_id", "ids", "decoded"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
