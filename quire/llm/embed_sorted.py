@@ -9,8 +9,11 @@ counted exactly: members within half the threshold's angle of the component's me
 inequality and are counted without being compared; the others are compared with every member, in tiles of bounded size. Vectors of
 one component that are copies of each other are members like others. No partner is left out and nothing is capped.
 
-A link is lost only if a vector's component misses it in all passes: for two lone vectors at cosine 0.95, about one in 10,000 at
-100,000 vectors with PASSES passes; for nearer or more vectors far less. More rows need more passes (one more for each doubling).
+Windows alone lose pairs in dense regions, so they only do the bulk of the work. Afterwards every vector is compared with every other
+one of its length, in blocks that are files in the shared folder: what links two different components joins them. Rows that are copies
+of a vector of their own component in one block are compared once. So no link is lost, whatever the number of rows, their
+distribution, passes and window; the price is that the comparison's work, but not its memory, disk or rows, grows with the square of
+the number of vectors.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components have no links and stand for themselves; so do
 vectors of different lengths against each other; rows of one id count as one vector for components, each with its own links; null
@@ -20,6 +23,7 @@ ids have no links, a null component and are kept; an empty table gives an empty
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import Forest, components, grouped, links_batch, stored
+from quire.llm.shared import Forest, components, grouped, links_batch, put_file, shared_dir, stored
 
 PASSES = 24
 WINDOW = 32
 BITS = 62
 TILE = 1024
+#: Bytes of doubles in a block of the last comparison, and rows of it that are compared at once.
+BLOCK_BYTES = 4 << 20
+STRIP = 512
 
 
 def unit_rows(column: pa.Array) -> list[np.ndarray | None]:
@@ -128,6 +135,88 @@ def _windows(keyed: DataFrame, least: float, window: int) -> DataFrame:
     return placed.mapInArrow(run, "a long, b long")
 
 
+def _put_blocks(spark: SparkSession, there: DataFrame, parts: DataFrame, block_bytes: int) -> list[tuple[int, int, str]]:
+    """(dim, rows, uri) of files that hold all vectors: their components, then the unit vectors."""
+    folder = shared_dir(spark, "blocks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[tuple[int, bytes], None]] = {}
+
+        def put(dim: int) -> pa.RecordBatch:
+            rows = held.pop(dim)
+            uri = f"{folder}/{uuid.uuid4().hex}"
+            put_file(uri, np.array([c for c, _ in rows], np.int64).tobytes() + b"".join(v for _, v in rows))
+            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([len(rows)], pa.int64()), pa.array([uri])], ["dim", "n", "uri"])
+
+        for batch in batches:
+            for dim, component, v in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if dim not in held:
+                    yield from map(put, list(held))
+                rows = held.setdefault(dim, {})
+                rows[component, v] = None
+                if len(rows) * dim * 8 >= block_bytes:
+                    yield put(dim)
+        yield from map(put, list(held))
+
+    rows = there.join(parts, "id", "left").select("dim", F.coalesce("component", "id").alias("component"), "v", F.xxhash64("id", "v").alias("place"))
+    # A tenth less than fits, as hashing deals unevenly.
+    number = there.agg(F.ceil(F.sum(F.col("dim").cast("long") * 8) / (0.9 * block_bytes))).first()[0] or 1
+    dealt = rows.repartition(int(number), "place").sortWithinPartitions("dim")
+    return sorted(tuple(r) for r in stored(spark, dealt.mapInArrow(run, "dim int, n long, uri string"), "block-list").collect())
+
+
+def _block(uri: str, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    with store.open_input_file(path) as f:
+        data = f.read()
+    return np.frombuffer(data, np.int64, n), np.frombuffer(data, np.float64, n * dim, 8 * n).reshape(n, dim)
+
+
+def _missed(spark: SparkSession, there: DataFrame, parts: DataFrame, least: float, block_bytes: int) -> DataFrame:
+    """Links (a, b) between different components, found by comparing all blocks; a task's links are a forest.
+
+    Each block meets itself and the next half of the blocks in a circle, so each pair of blocks meets and all blocks have the same work.
+    """
+    blocks = _put_blocks(spark, there, parts, block_bytes)
+    by_dim: dict[int, list[tuple[int, str]]] = {}
+    for dim, n, uri in blocks:
+        by_dim.setdefault(dim, []).append((n, uri))
+    first = [(dim, i) for dim, own in sorted(by_dim.items()) for i in range(len(own))]
+    known = spark.sparkContext.broadcast((by_dim, first))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_dim, first = known.value
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                dim, i = first[number]
+                own, forest = by_dim[dim], Forest()
+                comps, x = _block(own[i][1], own[i][0], dim)
+                single = x.astype(np.float32)
+                roots = lambda c: np.array([forest.find(u) for u in c.tolist()], np.int64)  # noqa: B023, E731
+                for step in range(len(own) // 2 + 1):
+                    n, uri = own[(i + step) % len(own)]
+                    others, y = _block(uri, n, dim) if step else (comps, x)
+                    comps, others, turned = roots(comps), roots(others), y.astype(np.float32).T
+                    for lo in range(0, len(x), STRIP):
+                        # Single precision only picks what double precision then decides; one link for two components is enough.
+                        p, q = np.nonzero(single[lo : lo + STRIP] @ turned >= least - 1e-4)
+                        apart, before = comps[lo + p] != others[q], len(forest.links)
+                        p, q = lo + p[apart], q[apart]
+                        for at in range(0, len(p), 8192):
+                            a, b = p[at : at + 8192], q[at : at + 8192]
+                            near = np.einsum("ij,ij->i", x[a], y[b]) >= least
+                            for u, v in set(zip(comps[a[near]].tolist(), others[b[near]].tolist(), strict=True)):
+                                forest.link(u, v)
+                        if len(forest.links) > before:
+                            comps, others = roots(comps), roots(others)
+                if forest.links:
+                    yield links_batch(forest.links)
+
+    return spark.range(0, len(first), 1, max(1, min(len(first), 20_000))).mapInArrow(run, "a long, b long")
+
+
 def _counts(spark: SparkSession, there: DataFrame, parts: DataFrame, least: float) -> DataFrame:
     """(id, row, n): for each vector of a component how many others of it are linked to it; row tells rows of one id apart."""
     placed = stored(spark, there.join(parts, "id").select("component", "dim", "id", "v", F.xxhash64("id", "v").alias("row")), "members")
@@ -192,7 +281,7 @@ def _counts(spark: SparkSession, there: DataFrame, parts: DataFrame, least: floa
     return inner.unionAll(outer).groupBy("id", "row").agg(F.sum("n").alias("n"))
 
 
-def link(spark: SparkSession, vectors: DataFrame, least: float = 0.95, passes: int = PASSES, window: int = WINDOW, vec_id: str = "vec_id", embedding: str = "embedding", passes_at_once: int = 8) -> DataFrame:
+def link(spark: SparkSession, vectors: DataFrame, least: float = 0.95, passes: int = PASSES, window: int = WINDOW, vec_id: str = "vec_id", embedding: str = "embedding", passes_at_once: int = 8, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of each row of vectors."""
     there = stored(spark, units(vectors, vec_id, embedding), "units")
     found = None
@@ -200,6 +289,9 @@ def link(spark: SparkSession, vectors: DataFrame, least: float = 0.95, passes: i
         links = stored(spark, _windows(_keys(there, range(first, min(first + passes_at_once, passes))), least, window), "links")
         found = links if found is None else found.unionAll(links)
     parts = stored(spark, components(spark, found.distinct()), "components")
+    missed = stored(spark, _missed(spark, there, parts, least, block_bytes), "missed")
+    if not missed.isEmpty():
+        parts = stored(spark, components(spark, found.unionAll(missed).distinct()), "components")
     counts = _counts(spark, there, parts, least).groupBy("id").agg(F.max("n").alias("n"))
     rows = vectors.select(F.col(vec_id).cast("long").alias("id")).join(parts, "id", "left").join(counts, "id", "left")
     out = rows.select(F.col("id").alias("vec_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))

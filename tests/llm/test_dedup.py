@@ -154,3 +154,17 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     assert [r.component_id for r in out] == union_find(n, pairs)
     assert all(r.kept == (r.vec_id == r.component_id) for r in out)
     assert embed_sorted.link(spark, v.limit(0)).count() == 0
+
+
+def test_no_link_is_lost_in_dense_regions(spark):
+    rng = np.random.default_rng(3)
+    topic = rng.standard_normal(16)
+    rows = [topic + rng.standard_normal(16) * 0.45 for _ in range(600)]
+    rows += [rows[i] + rng.standard_normal(16) * 0.15 for i in range(0, 100, 2)] + [rows[5]] * 40
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
+    pairs = [(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.95)) if j < i]
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "vec_id long, embedding array<double>").repartition(3)
+    for passes, window, block in ((1, 1, 1 << 12), (2, 2, 1 << 22)):
+        out = sorted(embed_sorted.link(spark, v, passes=passes, window=window, block_bytes=block).collect())
+        assert [r.n_links for r in out] == np.bincount(np.array(pairs).ravel(), minlength=len(rows)).tolist()
+        assert [r.component_id for r in out] == union_find(len(rows), pairs)
