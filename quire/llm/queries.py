@@ -91,7 +91,7 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import surrogates
 
     docs, key = _table(spark, sf_dir, "documents"), "corpus-key"
-    return surrogates.replace(docs, key, surrogates.attempts(spark, docs, key))
+    return surrogates.replace(docs, key, surrogates.exceptions(spark, docs, key))
 
 
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,25 +8,32 @@ without a table. Address bytes are enciphered as one 32-bit number; card numbers
 a name after a title becomes a made-up name of the title's gender. An e-mail address keeps its last domain part.
 
 Only made-up names can meet: a check over all entities finds different ones with equal surrogates, and surrogates that are entities of
-the corpus themselves, and gives those another attempt until none is left. Their number is bounded; beyond it, it fails and asks for
-another key.
+the corpus themselves, and gives those another attempt until none is left, whatever their number: they are a written table, which is
+joined to the texts where it is too large to become part of the query. Later attempts at names and e-mail addresses draw from larger
+sets. Where the entities fill more than a quarter of all strings of their format, a surrogate may be another entity of the corpus (the
+bijection still keeps them distinct); e-mail addresses are never treated so.
 
-Defined results: null text stays null and empty text stays empty, with no entities; numbers that fail the card check, versions and
-other bare numbers are left alone; repeated rows each give a row with equal results; extra columns are dropped; an empty table gives an
+Defined results: null text stays null and empty text stays empty, with no entities; numbers that fail the card check, versions,
+other bare numbers and numbers after a plus of fewer than seven digits are left alone; repeated rows each give a row with equal results; extra columns are dropped; an empty table gives an
 empty table.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.shared import stored
 
 KINDS = ("email", "ip", "iban", "ssn", "phone", "card", "name")
-#: Entities that may need another attempt, at most: they become part of the query.
+#: Entities that need another attempt, at most, to become part of the query; more are joined to the texts.
 MOST_EXCEPTIONS = 2_000
+#: From this attempt on, names and e-mail addresses come from larger sets.
 _ATTEMPTS = 8
+#: Digits of an international phone number, at least.
+_PHONE_DIGITS = 7
 
 #: Titles by gender, and given names that surrogates take.
 TITLES = {"m": "Mr Herr Monsieur Señor Don Sir Lord", "f": "Mrs Ms Miss Frau Madame Mademoiselle Señora Señorita Doña Lady", "x": "Dr Prof Mx"}
@@ -68,8 +75,8 @@ def kind_of(m: Column) -> Column:
         .when(m.rlike(r"^[A-Z]{2}\d{2}"), "iban")
         .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(m.rlike(r"^\p{L}"), "name")
-        .when(m.rlike(r"^[+(]") | m.rlike(r"^\d{3}[.\-]\d{3}[.\-]\d{4}$"), "phone")
-        .when(_check_digit(F.substring(bare, F.lit(1), F.length(bare) - 1)) == F.substring(bare, F.length(bare), F.lit(1)), "card")
+        .when((m.startswith("+") & (F.length(bare) >= _PHONE_DIGITS)) | m.startswith("(") | m.rlike(r"^\d{3}[.\-]\d{3}[.\-]\d{4}$"), "phone")
+        .when(~m.startswith("+") & (_check_digit(F.substring(bare, F.lit(1), F.length(bare) - 1)) == F.substring(bare, F.length(bare), F.lit(1))), "card")
     )
 
 
@@ -143,8 +150,8 @@ def _address(m: Column, key: Column) -> Column:
     return _let(state, lambda x: F.concat_ws(".", F.floor(x["a"] / 256), x["a"] % 256, F.floor(x["b"] / 256), x["b"] % 256))
 
 
-def _name(m: Column, key: Column) -> Column:
-    """Title kept; a given name of its gender where there was one, and a made-up surname of five syllables."""
+def _name(m: Column, key: Column, later: Column) -> Column:
+    """Title kept; a given name of its gender where there was one, and a made-up surname of five syllables (later attempts: of nine)."""
     title = F.regexp_extract(m, rf"^((?:{_TITLE})\.?) ", 1)
     bare, words = F.regexp_replace(title, r"\.", ""), F.size(F.split(m, " "))
     h = F.sha2(F.concat_ws("|", key, F.lit("name"), F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", "")), 256)
@@ -153,22 +160,32 @@ def _name(m: Column, key: Column) -> Column:
     given = F.lit(None)
     for g, titles in TITLES.items():
         given = F.when(bare.isin(*titles.split()), pick(GIVEN[g].split(), 5)).otherwise(given)
-    return F.concat_ws(" ", title, F.when(words > 2, given), F.initcap(F.concat(*[pick(_SYLLABLES, i) for i in range(5)])))
+    return F.concat_ws(" ", title, F.when(words > 2, given), F.initcap(F.concat(*[pick(_SYLLABLES, i) for i in range(5)], F.when(later, F.concat(*[pick(_SYLLABLES, i) for i in range(6, 10)])).otherwise(""))))
+
+
+def _known(kind: Column, base: Column) -> Column:
+    """An entity's key in a map of attempts."""
+    return F.concat_ws("/", kind, base)
+
 
+def surrogate(m: Column, key: str, attempts: dict[str, int] | Column | None = None, number: Column | None = None) -> Column:
+    """The surrogate of a match; null where the match is no entity.
 
-def surrogate(m: Column, key: str, attempts: dict[str, int] | None = None) -> Column:
-    """The surrogate of a match; null where the match is no entity. attempts: canonical forms that need another key."""
+    attempts: the number of entities (kind/canonical form) that need another attempt, as a dict or a map column; number: this entity's.
+    """
+    if isinstance(attempts, dict):
+        attempts = F.create_map(*[v for a, n in sorted(attempts.items()) for v in (F.lit(a), F.lit(n))]) if attempts else None
 
     def made(x: Column) -> Column:
-        kind, base = x["kind"], x["base"]
-        k = F.lit(key)
-        if attempts:
-            tries = F.create_map(*[v for a, n in sorted(attempts.items()) for v in (F.lit(a), F.lit(str(n)))])
-            k = F.concat(k, F.coalesce(F.concat(F.lit("#"), F.try_element_at(tries, base)), F.lit("")))
+        kind, base, tries = x["kind"], x["base"], x["tries"]
+        k, later = F.concat(F.lit(key), F.when(tries > 0, F.concat(F.lit("#"), tries.cast("string"))).otherwise("")), tries >= _ATTEMPTS
         n = F.length(base)
         head = F.when(kind == "iban", 2).when((kind == "card") | ((kind == "phone") & m.startswith("+")), 1).otherwise(0)
         tail = F.when(kind == "email", F.length(F.regexp_extract(base, r"(\.[^.]+)$", 1))).when(kind == "card", 1).otherwise(0)
-        inner = encipher(F.substring(base, head + 1, n - head - tail), F.concat_ws("/", k, kind))
+        plain = F.substring(base, head + 1, n - head - tail)
+        inner = encipher(plain, F.concat_ws("/", k, kind))
+        if number is not None or attempts is not None:
+            inner = F.when((kind == "email") & later, F.concat(_letters(F.concat_ws("/", k, kind, base)), F.lit("@"), F.substring_index(inner, "@", -1))).otherwise(inner)
 
         def put(x: Column) -> Column:
             whole = F.concat(F.substring(base, F.lit(1), head), x)
@@ -178,9 +195,18 @@ def surrogate(m: Column, key: str, attempts: dict[str, int] | None = None) -> Co
             mail = F.when((m == F.upper(m)) & (m != base), F.upper(mail)).otherwise(mail)
             return F.when(kind == "email", mail).otherwise(_as_before(m, F.when(kind == "card", card).otherwise(whole)))
 
-        return F.when(kind == "ip", _address(m, F.concat_ws("/", k, kind))).when(kind == "name", _name(m, k)).when(kind.isNotNull(), _let(inner, put))
+        return F.when(kind == "ip", _address(m, F.concat_ws("/", k, kind))).when(kind == "name", _name(m, k, later)).when(kind.isNotNull(), _let(inner, put))
+
+    def counted(x: Column) -> Column:
+        tries = number if number is not None else F.lit(0) if attempts is None else F.coalesce(F.try_element_at(attempts, _known(x["kind"], x["base"])), F.lit(0))
+        return _let(F.struct(x["kind"].alias("kind"), x["base"].alias("base"), tries.alias("tries")), made)
+
+    return _let(F.struct(kind_of(m).alias("kind")), lambda x: _let(F.struct(x["kind"].alias("kind"), canonical(m, x["kind"]).alias("base")), counted))
+
 
-    return _let(F.struct(kind_of(m).alias("kind")), lambda x: _let(F.struct(x["kind"].alias("kind"), canonical(m, x["kind"]).alias("base")), made))
+def _letters(s: Column) -> Column:
+    """Sixteen letters that s determines."""
+    return F.translate(F.substring(F.sha2(s, 256), F.lit(1), F.lit(16)), "0123456789abcdef", "abcdefghijklmnop")
 
 
 def _found(text: Column) -> Column:
@@ -195,29 +221,94 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("kind", canonical(F.col("match"), F.col("kind")).alias("base"), "match", "n")
 
 
+def _saturated(found: DataFrame) -> DataFrame:
+    """(kind, format) of formats of which the entities fill more than a quarter; found has kind, format and strings (the logarithm of a format's size)."""
+    return found.groupBy("kind", "format").agg(F.count("*").alias("n"), F.first("strings").alias("strings")).where(F.log(4 * F.col("n")) > F.col("strings") + 1e-9).select("kind", "format")
+
+
+def _formatted(found: DataFrame) -> DataFrame:
+    """found with each entity's format, and the logarithm of the number of strings that have it."""
+    kind, base, n = F.col("kind"), F.col("base"), F.length("base")
+    plus = (kind == "phone") & F.col("match").startswith("+")
+    head = F.when(kind == "iban", 2).when((kind == "card") | plus, 1).otherwise(0)
+    tail = F.when(kind == "email", F.length(F.regexp_extract(base, r"(\.[^.]+)$", 1))).when(kind == "card", 1).otherwise(0)
+    inner = F.substring(base, head + 1, n - head - tail)
+    shape = F.translate(inner, _ALL, "".join(letters[0] * len(letters) for letters in ALPHABETS))
+    size = sum(((F.length(shape) - F.length(F.replace(shape, F.lit(letters[0])))) * math.log(len(letters)) for letters in ALPHABETS), F.lit(0.0))
+    # Addresses are one format of 2^32; names come from sets that grow.
+    fixed = kind.isin("ip", "name")
+    form = F.when(fixed, "").otherwise(F.concat_ws("|", plus.cast("string"), F.substring(base, F.lit(1), head), shape, F.substring(base, n - tail + 1, tail)))
+    return found.withColumns({"format": form, "strings": F.when(kind == "ip", 32 * math.log(2)).when(kind == "name", 1e9).otherwise(size)})
+
+
+def exceptions(spark: SparkSession, docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """The collision check: (kind, base, number) of the entities that need another attempt, however many, with the attempt that ends it.
+
+    Each round makes surrogates only of the entities that still meet, so that rounds get smaller until none is left.
+    """
+    found = stored(spark, _formatted(entities(docs, text).groupBy("kind", "base").agg(F.min("match").alias("match"))), "entities")
+    forms = found.select("kind", F.col("base").alias("form"))
+    full = stored(spark, _saturated(found), "saturated")
+    state = found.select("kind", "base", "match", "format")
+    if full.isEmpty():
+        state = state.withColumn("full", F.lit(False))
+    else:
+        state = state.join(full.withColumn("full", F.lit(True)), ["kind", "format"], "left").withColumn("full", F.coalesce("full", F.lit(False)))
+    # No key helps an e-mail address of a format with few strings: it takes one of the larger set.
+    state = state.select("kind", "base", "match", (F.col("full") & (F.col("kind") != "email")).alias("fixed"), F.when(F.col("full") & (F.col("kind") == "email"), _ATTEMPTS).otherwise(0).alias("number"))
+    settled, out = None, None
+    while True:
+        made = state.select("*", surrogate(F.col("match"), key, number=F.col("number")).alias("made")).withColumn("form", canonical(F.col("made"), F.col("kind"))).drop("made")
+        made = stored(spark, made, "made")
+        # Of equal ones the first stays, and what may have no other attempt comes first.
+        first = F.min(F.struct(~F.col("fixed"), F.col("base")))["base"]
+        twice = made.groupBy("kind", "form").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("kind", "form", "first")
+        clash = made.join(twice, ["kind", "form"]).where("base <> first").select("kind", "base")
+        meet = clash.unionAll(made.join(forms, ["kind", "form"], "left_semi").select("kind", "base"))
+        if settled is not None:
+            meet = meet.unionAll(made.join(settled, ["kind", "form"], "left_semi").select("kind", "base"))
+        meet = stored(spark, meet.join(made.where("fixed").select("kind", "base"), ["kind", "base"], "left_anti").distinct(), "meet")
+        over = meet.isEmpty()
+        good = made if over else made.join(meet, ["kind", "base"], "left_anti")
+        moved = good.where("number > 0").select("kind", "base", "number")
+        out = moved if out is None else out.unionAll(moved)
+        if over:
+            return stored(spark, out, "exceptions")
+        good = good.select("kind", "form")
+        settled = stored(spark, good if settled is None else settled.unionAll(good), "settled")
+        state = made.join(meet, ["kind", "base"], "left_semi").select("kind", "base", "match", "fixed", (F.col("number") + 1).alias("number"))
+
+
+def _literal(found: DataFrame) -> dict[str, int] | None:
+    """Exceptions as a dict by kind/canonical form; None if they are too many for it."""
+    rows = found.limit(MOST_EXCEPTIONS + 1).collect()
+    return {f"{r.kind}/{r.base}": r.number for r in rows} if len(rows) <= MOST_EXCEPTIONS else None
+
+
 def attempts(spark: SparkSession, docs: DataFrame, key: str, text: str = "text") -> dict[str, int]:
-    """The collision check: canonical forms that need another attempt, with its number."""
-    found = stored(spark, entities(docs, text).groupBy("kind", "base").agg(F.min("match").alias("match")), "entities")
-    out: dict[str, int] = {}
-    for number in range(1, _ATTEMPTS):
-        made = found.select("kind", "base", surrogate(F.col("match"), key, out).alias("made"))
-        made = made.withColumn("form", canonical(F.col("made"), F.col("kind")))
-        twice = made.groupBy("kind", "form").agg(F.count("*").alias("n"), F.min("base").alias("first")).where("n > 1").select("kind", "form", "first")
-        clash = made.join(twice, ["kind", "form"]).where("base <> first").select("base")
-        own = made.join(found.select("kind", F.col("base").alias("form")), ["kind", "form"], "left_semi").select("base")
-        rows = clash.unionAll(own).distinct().limit(MOST_EXCEPTIONS + 1).collect()
-        if not rows:
-            return out
-        if len(rows) + len(out) > MOST_EXCEPTIONS:
-            raise ValueError("too many surrogates meet; use another key")
-        out |= {r.base: number for r in rows}
-    raise ValueError("surrogates still meet; use another key")
-
-
-def replace(docs: DataFrame, key: str, tries: dict[str, int] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, n_entities, kinds): each row's text with its entities replaced, their number, and the kinds met."""
+    """The exceptions as a dict; fails beyond MOST_EXCEPTIONS of them, for which replace takes the table of exceptions()."""
+    if (out := _literal(exceptions(spark, docs, key, text))) is None:
+        raise ValueError("too many surrogates meet for a dict; use exceptions()")
+    return out
+
+
+def _with_tries(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows, which have text, with tries: a map of the exceptions among the text's entities. Equal texts share one map."""
+    here = F.xxhash64("text")
+    each = rows.select(here.alias("_at"), F.explode("found").alias("match")).distinct().withColumn("kind", kind_of(F.col("match"))).where("kind is not null")
+    each = each.select("_at", "kind", canonical(F.col("match"), F.col("kind")).alias("base")).distinct().join(found, ["kind", "base"])
+    maps = each.groupBy("_at").agg(F.map_from_entries(F.collect_set(F.struct(_known(F.col("kind"), F.col("base")), "number"))).alias("tries"))
+    return rows.withColumn("_at", here).join(maps, "_at", "left").drop("_at")
+
+
+def replace(docs: DataFrame, key: str, tries: dict[str, int] | DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, n_entities, kinds): each row's text with its entities replaced, their number, and the kinds met; tries: from attempts() or exceptions()."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("found", F.coalesce(_found(F.col("text")), F.array().cast("array<string>")))
+    if isinstance(tries, DataFrame) and (few := _literal(tries)) is not None:
+        tries = few
+    if isinstance(tries, DataFrame):
+        rows, tries = _with_tries(rows, tries), F.col("tries")
     rows = rows.withColumn("made", F.transform("found", lambda m: F.struct(m.alias("match"), surrogate(m, key, tries).alias("made"))))
     between = F.split(F.col("text"), PATTERN, -1)
     parts = F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.get("made.made", i), F.get("made.match", i), F.lit(""))))

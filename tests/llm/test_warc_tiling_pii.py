@@ -183,5 +183,35 @@ def test_meeting_surrogates_get_another_attempt(spark, monkeypatch):
         surrogates.attempts(spark, d, "k")
 
 
+def test_any_number_of_exceptions(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "_SYLLABLES", ["ba", "be"])
+    monkeypatch.setattr(surrogates, "MOST_EXCEPTIONS", 3)
+    names = [f"Dr N{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(150)]
+    mails = [f"{a}@{b}.de" for a in "abcdefghij" for b in "klmnopqrst"] + ["中@文.cn"]
+    d = spark.createDataFrame(list(enumerate(names + mails)) + [(998, names[7]), (999, f"{names[8]}, {mails[4]}")], "doc_id long, text string")
+    found = surrogates.exceptions(spark, d, "k")
+    assert found.count() > 3
+    out = {r.doc_id: r.text for r in surrogates.replace(d, "k", found).collect()}
+    assert len(out) == 253 and out[998] == out[7] and out[999] == f"{out[8]}, {out[154]}"
+    whole = [out[i] for i in range(251)]
+    assert len(set(whole)) == 251 and not set(whole) & set(names + mails)
+
+
+def test_short_and_dense_phones(spark):
+    rows = [f"+{i}" for i in range(100, 200)] + [f"+1 555 {i:03d}" for i in range(1000)] + [f"+1 555 00{i:02d}" for i in range(100)]
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = [r.text for r in sorted(surrogates.replace(d, "k", surrogates.exceptions(spark, d, "k")).collect())]
+    assert out[:100] == rows[:100] and len(set(out)) == len(rows)
+    assert not set(out[1100:]) & set(rows)
+
+
+def test_formats_that_are_full_stay_bijections(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "_PHONE_DIGITS", 3)
+    rows = [f"+{i}" for i in range(100, 200)]
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = [r.text for r in surrogates.replace(d, "k", surrogates.exceptions(spark, d, "k")).collect()]
+    assert sorted(out) == rows
+
+
 def test_numpy_is_enough():
     assert np.array_equal(tiling._run_hashes(np.arange(9, dtype=np.uint64), 3)[:2], tiling._run_hashes(np.arange(5, dtype=np.uint64), 3)[:2])
