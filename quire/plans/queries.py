@@ -430,7 +430,7 @@ def seam_overlap(spark, sf):
 
 def _turn_pairs(spark, sf):
     w = Window.partitionBy("conv_id").orderBy("turn")
-    return table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("section"), F.substring(F.lag("text").over(w), 1, 300).alias("before"), F.substring("text", 1, 300).alias("after")).where("before is not null")
+    return table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("section"), F.lag("text").over(w).alias("before"), F.col("text").alias("after")).where("before is not null")
 
 
 @register("diff_coverage")

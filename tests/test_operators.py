@@ -414,3 +414,19 @@ def test_images():
 def test_image_rows(spark):
     d = spark.createDataFrame([(("o", 2, 2, 1, 0, bytearray([0, 255, 255, 255])),)], "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
     assert images.map_images(d, lambda a: {"level": images.otsu(a)}, "origin string, level int").first().level == 0
+
+
+def test_diff_queries_read_whole_turns(spark, tmp_path):
+    from collections import Counter
+
+    from quire.plans import queries
+
+    alike = " ".join(f"{i}:" for i in range(100))
+    before, after = alike + " xaxbx tail", alike + " yaybx end, x"
+    spark.createDataFrame([(1, 0, "user", before), (1, 1, "user", after)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert len(alike) > 300
+    changes = sequences.uncovered(before, after, [after[:40]])
+    assert changes and sorted(r.change for r in queries.diff_coverage(spark, str(tmp_path)).collect()) == sorted(changes)
+    swaps = Counter((before[i], after[k]) for op, i, j, k, m in sequences.spans_of(before, after) if op == "replace" and j - i == 1 and m - k == 1)
+    expected = {(a, b, n, after.count(a)) for (a, b), n in swaps.items() if n >= 2 and a in after}
+    assert expected and {(r.old, r.new, r.instances, r.survivors) for r in queries.diff_sweeps(spark, str(tmp_path)).collect()} == expected
