@@ -14,16 +14,20 @@ each have a row, ordered by text. An empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import itertools
 import json
+import os
+import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.chunks import ChunkCache
+from quire.llm.chunks import PieceCache
 from quire.llm.shared import put_file, shared_dir, stored
 from quire.llm.textcore import binary_rows, slices, utf8
 
@@ -63,17 +67,14 @@ class FileWriter:
         self.clear()
 
     def clear(self) -> None:
-        self.body, self.size, self.chunks, self.docs, self.lengths, self.rest, self.held = [MAGIC], 4, [], [], [], [], 0
-
-    @property
-    def ids(self) -> int:
-        return sum(c[1] for c in self.chunks) + self.held
+        self.body, self.size, self.chunks, self.docs, self.lengths, self.rest, self.held, self.ids = [MAGIC], 4, [], [], [], [], 0, 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.docs.append(doc_id)
         self.lengths.append(len(ids) // 4)
         self.rest.append(ids)
         self.held += len(ids) // 4
+        self.ids += len(ids) // 4
         if self.held >= self.block:
             all_ids = np.frombuffer(b"".join(self.rest), "<u4")
             full = len(all_ids) // self.block * self.block
@@ -133,42 +134,83 @@ def read_file(data: bytes) -> Iterator[tuple[int | None, bytes]]:
         held, size = [ids[n:]], size - n
 
 
-_encoders: dict[str, ChunkCache] = {}
+_encoders: dict[str, Encoder] = {}
+#: Pieces that the pre-tokeniser keeps apart: an optional space, then bytes that are surely no white space.
+_PLAIN = re.compile(rb" ?[!-~\x80-\xc1\xc3-\xe0\xe4-\xff]+")
+#: Pieces that are encoded as one text.
+_ROW = 400
 
 
-def _encoder(path: str) -> ChunkCache:
-    """One encoder for a worker process, kept between its tasks."""
-    if path not in _encoders:
-        import os
+class Encoder:
+    """Encodes columns with the tokenizers library, each distinct short piece once where the tokenizer's split allows it."""
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
-        for token, number in tokenizer.get_vocab().items():
-            sizes[number] = len(token)  # a byte-level token has a character for each byte
-
-        def encode(chunks: list[str]) -> Iterator[bytes]:
-            """Chunks that begin with a space are encoded in rows, which the pre-tokeniser cuts between them, and taken apart by length."""
-            for lo in range(0, len(chunks), 40_000):
-                part = chunks[lo : lo + 40_000]
-                spaced = [x for x in part if x[0] == " "]
-                alone = [x for x in part if x[0] != " "]
-                rows = [spaced[i : i + 200] for i in range(0, len(spaced), 200)]
-                out = {}
-                for row, x in zip(rows, tokenizer.encode_batch_fast(["".join(r) for r in rows], add_special_tokens=False), strict=True):
-                    ids = np.array(x.ids, dtype="<u4")
-                    ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(c.encode()) for c in row])) + 1
-                    raw, at = ids.tobytes(), 0
-                    for c, end in zip(row, ends.tolist(), strict=True):
-                        out[c] = raw[4 * at : 4 * end]
-                        at = end
-                for c, x in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-                    out[c] = np.array(x.ids, dtype="<u4").tobytes()
-                yield from map(out.__getitem__, part)
-
-        _encoders[path] = ChunkCache(encode, most=800_000)
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        split, model = told.get("pre_tokenizer") or {}, told["model"]
+        self.added = [x["content"] for x in told.get("added_tokens") or []]
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not told.get("normalizer")
+        plain = plain and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+        self.cache = PieceCache(self._pieces) if plain else None
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.sizes[number] = len(token)  # a byte-level token has a character for each byte
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(count.sum())), count
+
+    def _pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces: plain ones are encoded in rows, between which the pre-tokeniser cuts, and taken apart by their lengths.
+
+        Pieces with a space in front follow each other; a line end keeps the others apart.
+        """
+        kind = [0 if not _PLAIN.fullmatch(x) else 1 if x[0] == 32 else 2 for x in pieces]
+        kind, sizes = np.array(kind), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        parts, first, count, used = [], np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), 0
+        for which, between in ((1, b""), (2, b"\n"), (0, None)):
+            at = np.flatnonzero(kind == which)
+            if not len(at):
+                continue
+            mine = [pieces[i] for i in at.tolist()]
+            if between is None:
+                ids, count[at] = self._ids([x.decode() for x in mine])
+                first[at] = used + np.cumsum(count[at]) - count[at]
+            else:
+                ids, _ = self._ids([(between + between.join(mine[i : i + _ROW])).decode() for i in range(0, len(mine), _ROW)])
+                upto = np.cumsum(self.sizes[ids])
+                ends = np.cumsum(sizes[at] + len(between))
+                lo, hi = np.searchsorted(upto, ends - sizes[at], "right"), np.searchsorted(upto, ends, "right")
+                if (upto[hi - 1] != ends).any():
+                    raise ValueError("the tokenizer joins what its split should keep apart")
+                first[at], count[at] = used + lo, hi - lo
+            parts.append(ids)
+            used += len(ids)
+        ids, starts = np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.cumsum(count) - count
+        return ids[np.repeat(first - starts, count) + np.arange(int(count.sum()))], count
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(lo, hi, ids, counts) of slices of a string column's rows; null counts as empty."""
+        whole = np.full(len(column), self.cache is None)
+        for x in self.added:
+            whole |= pc.fill_null(pc.match_substring(column, x), False).to_numpy(zero_copy_only=False)
+        for lo, hi in slices(utf8(column)[1], 4 << 20):
+            part = column.slice(lo, hi - lo)
+            if whole[lo:hi].any():
+                yield lo, hi, *self._ids([x or "" for x in part.to_pylist()])
+            else:
+                yield from ((lo + a, lo + b, ids, count) for a, b, ids, count in self.cache.encode_column(part))
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder for a worker process, kept between its tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
@@ -194,11 +236,10 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, bit
             return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "file": pa.array([number - 1], pa.int32()), "uri": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
 
         for batch in batches:
-            for lo, hi in slices(utf8(batch.column(1))[1], 4 << 20):
-                part = batch.slice(lo, hi - lo)
-                coded = encoder.encode([x or "" for x in part.column(1).to_pylist()])
-                for d, ids in zip(part.column(0).to_pylist(), coded, strict=True):
-                    out.add(d, ids + end)
+            for lo, hi, ids, count in encoder.encode(batch.column(1)):
+                raw, upto = ids.astype("<u4", copy=False).tobytes(), (4 * np.r_[0, np.cumsum(count)]).tolist()
+                for i, d in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
+                    out.add(d, raw[upto[i] : upto[i + 1]] + end)
                     if out.ids >= FILE_IDS:
                         yield close()
         if out.docs:

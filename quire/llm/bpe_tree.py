@@ -1,20 +1,23 @@
 """Byte-level BPE by a monoid tree reduction (operator 5).
 
-A piece (one match of the split pattern) is halved until its parts are short, each part is merged by rank, and neighbours are
-joined: the tokens around the border are decoded, encoded anew as one window, and the window grows until its outer tokens are
-stable against the tokens that stay. Two neighbouring tokens are stable when encoding their bytes gives the same two tokens; a
-sequence all of whose neighbours are stable is the encoding of its bytes, so the joined sequence is the one that merging the whole
-piece would give. Pieces are encoded separately, so a text's ids are its pieces' ids in a row. Decoding concatenates bytes.
-
-Defined results: null counts as empty; an empty text has no ids and decodes to no bytes; repeated rows each give a row; extra
-columns are dropped; an empty table gives an empty table. An id that the vocabulary lacks raises KeyError when decoding.
+A piece (one match of the split pattern) is halved down to single bytes, and neighbours are joined: the tokens around the border are
+decoded, merged anew as one window, and the window grows until its outer tokens are stable against the tokens that stay. Two
+neighbouring tokens are stable when merging their bytes gives the same two tokens; a sequence all of whose neighbours are stable is the
+encoding of its bytes, so the joined sequence is the one that merging the whole piece would give. What a window merges to is
+remembered, and so are short halves, which many words share; both memories are bounded and emptied when full. Pieces are encoded
+separately, so a text's ids are its pieces' ids in a row. Decoding concatenates up the same tree: runs of ids become bytes at once, and
+halves are put one after the other. No tokenizer library takes part.
+
+Defined results: null counts as empty; an empty text has no ids and decodes to no bytes; a very long text is encoded in spans that end
+where a piece ends, so only its bytes and ids are held whole; repeated rows, and rows of one id, each give a row; equal texts have
+equal ids; extra columns are dropped, whatever their names; an empty table gives an empty table. An id that the vocabulary lacks raises
+KeyError when decoding.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.chunks import ChunkCache
-from quire.llm.textcore import binary_rows, slices, utf8
+from quire.llm.chunks import PieceCache
+from quire.llm.textcore import binary_rows
 
-LEAF = 12
-#: Pieces remembered at once; a fuller memory is emptied, which costs time only.
-_MEMORY = 150_000
+#: Bytes of a half that is remembered, at most, and halves, pairs and windows remembered at once.
+_SHORT_PART, _MEMORY = 10, 200_000
+#: Ids that a leaf of the decoding tree turns into bytes at once.
+_LEAF_IDS = 1 << 16
 _TASK_BYTES = 2 << 20
 
 
@@ -39,16 +43,15 @@ class TreeBpe:
 
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.token = {v: k for k, v in ranks.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.cache = ChunkCache(self._chunks, most=250_000)
-        self.kernel = self._merged_long
-        try:
-            import tiktoken
-
-            self.kernel = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        except (ImportError, AttributeError):
-            pass
+        #: By the two tokens (their ids in one number): what their bytes merge to.
+        self.pairs: dict[int, list[int]] = {}
+        self.parts: dict[bytes, list[int]] = {}
+        self.cache = PieceCache(self._pieces)
+        order = np.array(sorted(self.token), np.int64)
+        size = np.zeros(int(order[-1]) + 1 if len(order) else 0, np.int64)
+        size[order] = [len(self.token[i]) for i in order.tolist()]
+        self.size, self.at = size, np.cumsum(size) - size
+        self.flat = np.frombuffer(b"".join(self.token[i] for i in order.tolist()), np.uint8)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> TreeBpe:
@@ -56,16 +59,27 @@ class TreeBpe:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}, pattern)
 
     def merged(self, piece: bytes) -> list[int]:
-        """Ids of a part or window by merging it as a whole: the lowest-ranked neighbours first, the leftmost of equals.
-
-        The library's kernel for one piece does it where it is there.
-        """
-        if (whole := self.ranks.get(piece)) is not None:
-            return [whole]
-        return self.kernel(piece) if piece else []
+        """Ids of a window by merging it as a whole: the lowest-ranked neighbours first, the leftmost of equals."""
+        if len(piece) > 48:
+            return self._merged_long(piece)
+        get, tokens = self.ranks.get, [piece[i : i + 1] for i in range(len(piece))]
+        ranks = [get(piece[i : i + 2]) for i in range(len(piece) - 1)]
+        while True:
+            best, at = None, -1
+            for i, r in enumerate(ranks):
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
+            if best is None:
+                return [self.ranks[t] for t in tokens]
+            tokens[at : at + 2] = [tokens[at] + tokens[at + 1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = get(tokens[at] + tokens[at + 1])
+            if at:
+                ranks[at - 1] = get(tokens[at - 1] + tokens[at])
 
     def _merged_long(self, piece: bytes) -> list[int]:
-        """The same in Python, with a heap."""
+        """The same with a heap."""
         get, n = self.ranks.get, len(piece)
         end, prev, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := get(piece[i : i + 2])) is not None]
@@ -83,49 +97,81 @@ class TreeBpe:
                 heapq.heappush(heap, (r, p, i, k))
         return [self.ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
-    def stable(self, a: int, b: int) -> bool:
-        if (known := self.pairs.get((a, b))) is None:
-            if len(self.pairs) > _MEMORY:
+    def pair(self, a: int, b: int) -> list[int]:
+        """What the bytes of two tokens merge to: the tokens themselves if they are stable as neighbours."""
+        if (known := self.pairs.get(a << 32 | b)) is None:
+            if len(self.pairs) >= _MEMORY:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(self.token[a] + self.token[b]) == [a, b]
+            known = self.pairs[a << 32 | b] = self.merged(self.token[a] + self.token[b])
         return known
 
+    def stable(self, a: int, b: int) -> bool:
+        # Tokens that merge to two others have another border, so a first token tells.
+        found = self.pair(a, b)
+        return len(found) == 2 and found[0] == a
+
     def join(self, a: list[int], b: list[int]) -> list[int]:
         """Ids of two neighbouring parts from the ids of each."""
         if not a or not b:
             return a + b
-        if self.stable(a[-1], b[0]):
+        window = self.pair(a[-1], b[0])
+        if len(window) == 2 and window[0] == a[-1]:
             return a + b
         k = 1
         while True:
             left, right = a[: max(0, len(a) - k)], b[k:]
-            window = self.merged(b"".join(map(self.token.__getitem__, a[len(left) :] + b[:k])))
             if (not left or self.stable(left[-1], window[0])) and (not right or self.stable(window[-1], right[0])):
                 return left + window + right
             k *= 2
-
-    def tree(self, piece: bytes) -> list[int]:
-        if len(piece) <= LEAF:
-            return self.merged(piece)
-        half = len(piece) // 2
-        return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
-
-    def _piece(self, piece: str) -> bytes:
-        if (known := self.pieces.get(piece)) is None:
-            if len(self.pieces) > _MEMORY:
-                self.pieces.clear()
-            known = self.pieces[piece] = array("I", self.tree(piece.encode())).tobytes()
-        return known
-
-    def _chunks(self, chunks: list[str]) -> Iterator[bytes]:
-        for x in chunks:
-            yield b"".join(map(self._piece, self.split.findall(x)))
+            window = self.merged(b"".join(map(self.token.__getitem__, a[-k:] + b[:k])))
+
+    def tree(self, part: bytes) -> list[int]:
+        if (known := self.parts.get(part)) is not None:
+            return known
+        if len(part) < 2:
+            return [self.ranks[part]] if part else []
+        half = len(part) // 2
+        found = self.join(self.tree(part[:half]), self.tree(part[half:]))
+        if len(part) <= _SHORT_PART:
+            if len(self.parts) >= _MEMORY:
+                self.parts.clear()
+            self.parts[part] = found
+        return found
+
+    def _pieces(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        out: list[int] = []
+        counts = np.empty(len(chunks), np.int64)
+        for i, x in enumerate(chunks):
+            before = len(out)
+            for match in self.split.findall(x.decode()):
+                out += self.tree(match.encode())
+            counts[i] = len(out) - before
+        return np.array(out, np.uint32), counts
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.cache.encode(texts)
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        """Little-endian 32-bit ids of each text."""
+        out = []
+        for _, _, ids, count in self.cache.encode_column(pa.array(texts, pa.string())):
+            raw, ends = ids.astype("<u4", copy=False).tobytes(), (4 * np.r_[0, np.cumsum(count)]).tolist()
+            out += [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        return out
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids: halves one after the other, down to runs that become bytes at once."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) > _LEAF_IDS:
+            half = len(ids) // 2
+            return self.decode(ids[:half]) + self.decode(ids[half:])
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size) or not self.size[ids].all()):
+            raise KeyError("an id that the vocabulary lacks")
+        size = self.size[ids]
+        return self.flat[np.repeat(self.at[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
+
+    def decode_rows(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of rows of ids, in a row, and each row's number of bytes."""
+        raw = self.decode(ids)
+        ends = np.r_[0, np.cumsum(self.size[np.asarray(ids, np.int64)])]
+        return raw, np.diff(ends[np.r_[0, np.cumsum(counts)]])
 
 
 _loaded: dict[tuple[str, str], TreeBpe] = {}
@@ -145,13 +191,10 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(vocabulary, pattern)
         for batch in batches:
-            bounds = utf8(batch.column(1))[1]
-            for lo, hi in slices(bounds, _TASK_BYTES):
-                part = batch.slice(lo, hi - lo)
-                found = bpe.encode([x or "" for x in part.column(1).to_pylist()])
-                values = pa.Array.from_buffers(pa.int32(), sum(map(len, found)) // 4, [None, pa.py_buffer(b"".join(found))])
-                ends = pa.array(np.r_[0, np.cumsum([len(x) // 4 for x in found])].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, values)], ["doc_id", "ids"])
+            for lo, hi, ids, count in bpe.cache.encode_column(batch.column(1), _TASK_BYTES):
+                values = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)])
+                ends = pa.array(np.r_[0, np.cumsum(count)].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(ends, values)], ["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids array<int>")
 
@@ -165,9 +208,11 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
                 ids = part.column(1)
-                values, ends = ids.values.to_numpy(), ids.offsets.to_numpy().tolist()
-                there = ids.is_valid().to_pylist()
-                raw = [bpe.decode(values[a:b].tolist()) if ok else b"" for a, b, ok in zip(ends, ends[1:], there, strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), binary_rows(np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw]))], ["doc_id", "ids", "decoded"])
+                ends, there = ids.offsets.to_numpy().astype(np.int64), ids.is_valid().to_numpy(zero_copy_only=False)
+                values = ids.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
+                if not there.all():
+                    values = values[np.repeat(there, np.diff(ends))]
+                raw, sizes = bpe.decode_rows(values, np.where(there, np.diff(ends), 0))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), binary_rows(np.frombuffer(raw, np.uint8), sizes)], ["doc_id", "ids", "decoded"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")

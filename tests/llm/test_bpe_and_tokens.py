@@ -7,11 +7,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quire.llm import bitplane, bpe_tree
-from quire.llm.chunks import ChunkCache
+from quire.llm.chunks import PieceCache, spans
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY, JSON = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "é", "中文", "1", "23", "...", "!", " ", "aaaa", "'s", "'", "🙂", "<|endoftext|>"]
+ODD = ["\u00a0", "\u2003", "\u3000", "\u0085", "\x1c", "\x00", "ü", "×", "÷", "Ж", "ѿ", "ſ", "\r\n", "’", "e\u0301", "²", "_", "'re", "'sx", " '", "“", "ß", "\u200b", "1²", "ªº"]
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def reference():
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(st.sampled_from(PARTS) | st.text(max_size=8), max_size=40))
+@given(st.lists(st.sampled_from(PARTS + ODD) | st.text(max_size=8), max_size=40))
 def test_tree_equals_library(bpe, reference, parts):
     text = "".join(parts)
     ids = np.frombuffer(bpe.encode([text])[0], "<u4").tolist()
@@ -45,14 +46,79 @@ def test_tree_of_any_bytes_equals_merging_the_whole(bpe, piece):
 
 
 def test_long_runs(bpe, reference):
-    for text in ("a" * 6000, "ab" * 2000, "中" * 2000, "the" * 3000):
+    for text in ("a" * 6000, " " * 5000 + "x", "\n" * 3001 + " y", "ab" * 2000, "中" * 2000, "the" * 3000):
         assert np.frombuffer(bpe.encode([text])[0], "<u4").tolist() == reference.encode_ordinary(text)
 
 
-def test_cache_is_emptied_without_harm():
-    cache = ChunkCache(lambda chunks: [x.encode() for x in chunks], most=3)
-    assert cache.encode(["a b c d e", "a b", ""]) == [b"a b c d e", b"a b", b""]
-    assert len(cache.known) <= 5
+def plain_cache(bits=21):
+    """Ids of a piece are its bytes and a 999 behind them, so wrong keys and borders show."""
+    seen = []
+
+    def encode_all(pieces):
+        seen.extend(pieces)
+        ids = [[*x, 999] for x in pieces]
+        return np.array([y for x in ids for y in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+
+    return PieceCache(encode_all, bits), seen
+
+
+def rows_of(cache, texts, most=1 << 20):
+    import pyarrow as pa
+
+    out = []
+    for lo, hi, ids, count in cache.encode_column(pa.array(texts), most):
+        assert hi - lo == len(count) and count.sum() == len(ids)
+        out += [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])]
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS + ODD) | st.text(max_size=20), max_size=12).map("".join) | st.none(), max_size=12))
+def test_pieces_are_remembered_exactly(texts):
+    cache, seen = plain_cache(6)
+    for _ in range(2):
+        rows = rows_of(cache, texts)
+        assert [bytes(x for x in r if x != 999) for r in rows] == [(t or "").encode() for t in texts]
+        assert rows == rows_of(plain_cache()[0], texts)
+    assert len(cache.key0) == cache.places >= 64
+
+
+def test_what_is_remembered_is_bounded_in_bytes():
+    cache, seen = plain_cache()
+    rows_of(cache, ["x" * 100_000 + str(i) for i in range(20)] + ["中" * 50_000] * 3)
+    assert cache.used < 200 and cache.taken < 40
+    cache, _ = plain_cache(8)
+    for i in range(40):
+        rows_of(cache, [f" w{i}a{j}" for j in range(20)])
+        assert cache.taken <= 0.6 * cache.places and cache.places == 256
+
+
+def test_long_texts_are_cut_where_pieces_end():
+    for text in ("ab cd. " * 5000, "x" * 20_000, "x" * 9000 + " y" * 9000, " " * 9000 + "z" * 100):
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = list(spans(data, 0, len(data), 500))
+        assert [a for a, _ in got[1:]] == [b for _, b in got[:-1]] and got[0][0] == 0 and got[-1][1] == len(data)
+        assert rows_of(plain_cache()[0], [text], 500) == rows_of(plain_cache()[0], [text])
+
+
+def test_decoding_tree(bpe, monkeypatch):
+    text = "the thing, 中文 and é " * 300
+    ids = np.frombuffer(bpe.encode([text])[0], "<u4")
+    monkeypatch.setattr(bpe_tree, "_LEAF_IDS", 7)
+    assert bpe.decode(ids) == text.encode() and bpe.decode([]) == b""
+    for bad in (len(bpe.size), -1):
+        with pytest.raises(KeyError):
+            bpe.decode([0, bad])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS + ODD) | st.text(max_size=8), max_size=20).map("".join), min_size=1, max_size=6))
+def test_token_encoder_equals_library(texts):
+    import pyarrow as pa
+
+    e = bitplane._encoder(JSON)
+    rows = [x.tolist() for _, _, ids, count in e.encode(pa.array(texts)) for x in np.split(ids, np.cumsum(count)[:-1])]
+    assert rows == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_encode_and_decode(spark, docs, texts, reference):
@@ -61,6 +127,8 @@ def test_encode_and_decode(spark, docs, texts, reference):
     assert [r.ids for r in rows] == [reference.encode_ordinary(t or "") for t in texts]
     assert [bytes(r.decoded) for r in rows] == [(t or "").encode() for t in texts]
     assert bpe_tree.encode(docs.limit(0), *args).count() == 0
+    null = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [bytes(r.decoded) for r in bpe_tree.decode(null, *args).orderBy("doc_id").collect()] == [b"", b""]
 
 
 @pytest.mark.parametrize("bits", [False, True])
