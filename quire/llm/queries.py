@@ -90,8 +90,7 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import surrogates
 
-    docs, key = _table(spark, sf_dir, "documents"), "corpus-key"
-    return surrogates.replace(docs, key, surrogates.exceptions(spark, docs, key))
+    return surrogates.surrogates(spark, _table(spark, sf_dir, "documents"), "corpus-key")
 
 
 def op10_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:

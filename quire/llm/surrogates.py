@@ -1,11 +1,16 @@
 """PII surrogates (operator 9), with DataFrame and SQL functions only.
 
-One pattern finds e-mail addresses, IPv4 addresses, phone, card, IBAN and social security numbers, and names after a title. Each
-entity is replaced by a keyed surrogate of its type. Characters keep their class (digit, lower or upper case, and script), so formats
-stay: a four-round keyed Feistel cipher over the characters shifts each half by a stream that the other half and the key determine. It
-is a bijection on strings of one format, so different entities get different surrogates and equal ones the same, in every document,
-without a table. Address bytes are enciphered as one 32-bit number; card numbers keep their first digit and what the check digit says;
-a name after a title becomes a made-up name of the title's gender. An e-mail address keeps its last domain part.
+One pattern finds e-mail addresses, IPv4 addresses, phone, card, IBAN and social security numbers, and names after a title, in one pass
+over each text. Each entity is replaced by a keyed surrogate of its type. Characters keep their class (digit, lower or upper case, and
+script), so formats stay: a four-round keyed Feistel cipher over the characters shifts each half by a stream that the other half and the
+key determine. It is a bijection on strings of one format, so different entities get different surrogates and equal ones the same, in
+every document, without a table. Address bytes are enciphered as one 32-bit number; card numbers keep their first digit and what the
+check digit says. An e-mail address keeps its last domain part.
+
+A name after a title becomes a made-up surname in its own script, which the surname and the key alone determine, so that "Mr John
+Smith", "Mr Smith" and "Dr Smith" share it, and a given name of the person's gender where there was one, which both names determine. The
+title tells the gender; Dr and Prof do not, there the given name does (names in -a count as female). A possessive ending is not part of
+a name. Names count after a title of the list only, written in Latin, Greek or Cyrillic letters; other scripts get Latin letters.
 
 Only made-up names can meet: a check over all entities finds different ones with equal surrogates, and surrogates that are entities of
 the corpus themselves, and gives those another attempt until none is left, whatever their number: they are a written table, which is
@@ -13,9 +18,10 @@ joined to the texts where it is too large to become part of the query. Later att
 sets. Where the entities fill more than a quarter of all strings of their format, a surrogate may be another entity of the corpus (the
 bijection still keeps them distinct); e-mail addresses are never treated so.
 
-Defined results: null text stays null and empty text stays empty, with no entities; numbers that fail the card check, versions,
-other bare numbers and numbers after a plus of fewer than seven digits are left alone; repeated rows each give a row with equal results; extra columns are dropped; an empty table gives an
-empty table.
+Defined results: null text stays null and empty text stays empty, with no entities; very long texts are searched whole; numbers that
+fail the card check, versions, other bare numbers and numbers after a plus of fewer than seven digits are left alone; where two kinds
+could begin at one place, the first of KINDS counts; repeated rows each give a row with equal results, and ids are never looked at;
+extra columns are dropped, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -35,12 +41,29 @@ _ATTEMPTS = 8
 #: Digits of an international phone number, at least.
 _PHONE_DIGITS = 7
 
-#: Titles by gender, and given names that surrogates take.
-TITLES = {"m": "Mr Herr Monsieur Señor Don Sir Lord", "f": "Mrs Ms Miss Frau Madame Mademoiselle Señora Señorita Doña Lady", "x": "Dr Prof Mx"}
+#: Titles by gender (u: the given name tells it), and given names that surrogates take, by script and gender.
+TITLES = {
+    "m": "Mr Herr Monsieur Señor Don Sir Lord Господин господин Κύριος κύριος",
+    "f": "Mrs Ms Miss Frau Madame Mademoiselle Señora Señorita Doña Lady Госпожа госпожа Κυρία κυρία",
+    "x": "Mx",
+    "u": "Dr Prof",
+}
 GIVEN = {
-    "m": "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leo Marco Nils Oscar Paul Rafael Simon Tomas Victor",
-    "f": "Ada Bella Clara Diana Elsa Flora Greta Helena Ida Julia Klara Laura Maria Nora Olga Paula Rosa Sara Teresa Vera",
-    "x": "Alex Bobbie Casey Dana Eden Frankie Gale Harper Indigo Jamie Kai Lee Morgan Nico Oakley Parker Quinn Robin Sasha Toni",
+    "latin": {
+        "m": "Adam Bruno Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leo Marco Nils Oscar Paul Rafael Simon Tomas Victor",
+        "f": "Ada Bella Clara Diana Elsa Flora Greta Helena Ida Julia Klara Laura Maria Nora Olga Paula Rosa Sara Teresa Vera",
+        "x": "Alex Bobbie Casey Dana Eden Frankie Gale Harper Indigo Jamie Kai Lee Morgan Nico Oakley Parker Quinn Robin Sasha Toni",
+    },
+    "cyrillic": {
+        "m": "Антон Борис Виктор Глеб Денис Егор Захар Игорь Кирилл Лев Максим Олег Павел Роман Семён Тимур",
+        "f": "Анна Вера Галина Дарья Елена Жанна Зоя Инна Кира Лидия Мария Нина Ольга Полина Раиса Софья",
+        "x": "Женя Саша Валя Шура",
+    },
+    "greek": {
+        "m": "Αλέξης Γιάννης Δημήτρης Ηλίας Θωμάς Κώστας Λάμπρος Μάριος Νίκος Πέτρος Σταύρος Φώτης",
+        "f": "Αθηνά Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Λυδία Μαρία Νεφέλη Σοφία",
+        "x": "Αλεξία Χαρά",
+    },
 }
 #: The alphabets whose letters stand for each other.
 ALPHABETS = (
@@ -48,9 +71,15 @@ ALPHABETS = (
     "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
 )
 _SYLLABLES = [c + v for c in "bdfgklmnprstvz" for v in "aeiou"]
+_SYLLABLES_OF = {"cyrillic": [c + v for c in "бвгдзклмнпрстфх" for v in "аеиоу"], "greek": [c + v for c in "βγδζκλμνπρστφχ" for v in "αειοω"]}
+#: What a name of a script surely holds.
+_SCRIPTS = {"cyrillic": "[а-яёА-ЯЁ]", "greek": "[α-ωΑ-Ω]"}
+#: Stands around matches while a text is cut; texts that hold it themselves are cut in two passes.
+_MARK = "\ufdd0"
 
 _BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLE = "|".join(t for g in TITLES.values() for t in g.split())
+_NAME = r"\p{Lu}(?:\p{L}|-\p{L}|['’]\p{Lu})+"
 #: One pattern for each kind; a match's kind is the first whose whole pattern it matches.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+(?<![\-])",
@@ -59,7 +88,7 @@ PATTERNS = {
     "ssn": r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}(?:[ .\-]?\(?\d{1,4}\)?){2,5}|\(\d{2,4}\) ?\d{3,4}[ .\-]\d{3,4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\w)",
     "card": r"(?<![\w.\-+])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,3})?)(?![\w])",
-    "name": rf"(?<!\w)(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'\-]+(?: \p{{Lu}}[\p{{L}}'\-]+)?(?!\w)",
+    "name": rf"(?<![\w\p{{L}}])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?(?![\w\p{{L}}])",
 }
 PATTERN = "|".join(PATTERNS.values())
 #: What a text with an entity surely holds.
@@ -150,17 +179,87 @@ def _address(m: Column, key: Column) -> Column:
     return _let(state, lambda x: F.concat_ws(".", F.floor(x["a"] / 256), x["a"] % 256, F.floor(x["b"] / 256), x["b"] % 256))
 
 
-def _name(m: Column, key: Column, later: Column) -> Column:
-    """Title kept; a given name of its gender where there was one, and a made-up surname of five syllables (later attempts: of nine)."""
-    title = F.regexp_extract(m, rf"^((?:{_TITLE})\.?) ", 1)
-    bare, words = F.regexp_replace(title, r"\.", ""), F.size(F.split(m, " "))
-    h = F.sha2(F.concat_ws("|", key, F.lit("name"), F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", "")), 256)
-    number = lambda i: F.conv(F.substring(h, F.lit(1 + 6 * i), F.lit(6)), 16, 10).cast("int")
-    pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), F.pmod(number(i), F.lit(len(values))) + 1)
-    given = F.lit(None)
-    for g, titles in TITLES.items():
-        given = F.when(bare.isin(*titles.split()), pick(GIVEN[g].split(), 5)).otherwise(given)
-    return F.concat_ws(" ", title, F.when(words > 2, given), F.initcap(F.concat(*[pick(_SYLLABLES, i) for i in range(5)], F.when(later, F.concat(*[pick(_SYLLABLES, i) for i in range(6, 10)])).otherwise(""))))
+def _by_script(name: Column, of) -> Column:
+    """of(script) for the script of a name."""
+    out = of("latin")
+    for script, letters in _SCRIPTS.items():
+        out = F.when(name.rlike(letters), of(script)).otherwise(out)
+    return out
+
+
+def _at(h: Column, i, size: int) -> Column:
+    """A number below size from the i-th six digits of a hash."""
+    return F.pmod(F.conv(F.substring(h, 1 + 6 * (i % 10 if isinstance(i, Column) else F.lit(i)), F.lit(6)), 16, 10).cast("int"), F.lit(size))
+
+
+def _attempt(key: str | Column, number: Column) -> Column:
+    """The key of an attempt."""
+    return F.concat(F.lit(key), F.when(number > 0, F.concat(F.lit("#"), number.cast("string"))).otherwise(""))
+
+
+def made_surname(base: Column, key: str | Column, number: Column) -> Column:
+    """A made-up surname, in lower case, for one in lower case: five syllables of its script (later attempts: nine)."""
+
+    def made(h: Column) -> Column:
+        def of(script: str) -> Column:
+            known = _SYLLABLES_OF.get(script, _SYLLABLES)
+            all_ = F.lit("".join(known))
+            some = [F.substring(all_, 2 * _at(h, i, len(known)) + 1, F.lit(2)) for i in range(9)]
+            return F.concat(*some[:5], F.when(number >= _ATTEMPTS, F.concat(*some[5:])).otherwise(""))
+
+        return _by_script(base, of)
+
+    return _let(F.sha2(F.concat_ws("|", _attempt(key, number), F.lit("name"), base), 256), made)
+
+
+def made_given(base: Column, key: str | Column, number: Column) -> Column:
+    """A given name for a base gender|given name|surname; every second attempt draws from names with one more part."""
+
+    def made(h: Column) -> Column:
+        def of(script: str) -> Column:
+            def one(i: Column) -> Column:
+                out = F.lit(None)
+                for gender, names in GIVEN[script].items():
+                    names = names.split()
+                    out = F.when(F.substring(base, 1, 1) == gender, F.split_part(F.lit(" ".join(names)), F.lit(" "), _at(F.sha2(F.concat_ws("|", h, i.cast("string")), 256), 0, len(names)) + 1)).otherwise(out)
+                return out
+
+            return F.array_join(F.transform(F.sequence(F.lit(0), F.floor(number / 2).cast("int")), one), "-")
+
+        return _by_script(F.split_part(base, F.lit("|"), F.lit(2)), of)
+
+    return _let(F.sha2(F.concat_ws("|", _attempt(key, number), F.lit("given"), base), 256), made)
+
+
+def _named(m: Column) -> Column:
+    """A name's title, given name (null without one), surname, and the base of the given name: gender, given name and surname."""
+    rest = F.split(F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", ""), " ")
+
+    def told(x: Column) -> Column:
+        bare = F.regexp_replace(x["title"], r"\.", "")
+        gender = F.when(F.lower(x["given"]).rlike("[aáàâäаяαάηή]$"), "f").otherwise("m")
+        for g, titles in TITLES.items():
+            if g != "u":
+                gender = F.when(bare.isin(*titles.split()), g).otherwise(gender)
+        return F.struct(x["title"].alias("title"), x["given"].alias("given"), x["surname"].alias("surname"), F.when(x["given"].isNotNull(), F.concat_ws("|", gender, F.lower(x["given"]), F.lower(x["surname"]))).alias("base"))
+
+    return _let(_let(rest, lambda w: F.struct(F.regexp_extract(m, rf"^((?:{_TITLE})\.?) ", 1).alias("title"), F.when(F.size(w) > 1, w[0]).alias("given"), F.element_at(w, -1).alias("surname"))), told)
+
+
+def _cased(made: Column, like: Column) -> Column:
+    """A made-up name in capitals where the name it stands for is."""
+    return F.when((like == F.upper(like)) & (F.length(like) > 1), F.upper(made)).otherwise(F.initcap(made))
+
+
+def _name(m: Column, key: str | Column, tries) -> Column:
+    """Title kept, a given name where there was one, and a surname; tries(kind, base) tells their attempts."""
+
+    def made(x: Column) -> Column:
+        surname = F.lower(x["surname"])
+        given = F.when(x["given"].isNotNull(), _let(made_given(x["base"], key, tries("given", x["base"])), lambda g: F.when(x["given"] == F.upper(x["given"]), F.upper(g)).otherwise(g)))
+        return F.concat_ws(" ", x["title"], given, _let(made_surname(surname, key, tries("name", surname)), lambda s: _cased(s, x["surname"])))
+
+    return _let(_named(m), made)
 
 
 def _known(kind: Column, base: Column) -> Column:
@@ -178,7 +277,7 @@ def surrogate(m: Column, key: str, attempts: dict[str, int] | Column | None = No
 
     def made(x: Column) -> Column:
         kind, base, tries = x["kind"], x["base"], x["tries"]
-        k, later = F.concat(F.lit(key), F.when(tries > 0, F.concat(F.lit("#"), tries.cast("string"))).otherwise("")), tries >= _ATTEMPTS
+        k, later = _attempt(key, tries), tries >= _ATTEMPTS
         n = F.length(base)
         head = F.when(kind == "iban", 2).when((kind == "card") | ((kind == "phone") & m.startswith("+")), 1).otherwise(0)
         tail = F.when(kind == "email", F.length(F.regexp_extract(base, r"(\.[^.]+)$", 1))).when(kind == "card", 1).otherwise(0)
@@ -195,11 +294,15 @@ def surrogate(m: Column, key: str, attempts: dict[str, int] | Column | None = No
             mail = F.when((m == F.upper(m)) & (m != base), F.upper(mail)).otherwise(mail)
             return F.when(kind == "email", mail).otherwise(_as_before(m, F.when(kind == "card", card).otherwise(whole)))
 
-        return F.when(kind == "ip", _address(m, F.concat_ws("/", k, kind))).when(kind == "name", _name(m, k, later)).when(kind.isNotNull(), _let(inner, put))
+        return F.when(kind == "ip", _address(m, F.concat_ws("/", k, kind))).when(kind == "name", _name(m, key, tries_of)).when(kind.isNotNull(), _let(inner, put))
+
+    def tries_of(kind, base: Column) -> Column:
+        if number is not None:
+            return number
+        return F.lit(0) if attempts is None else F.coalesce(F.try_element_at(attempts, _known(F.lit(kind), base)), F.lit(0))
 
     def counted(x: Column) -> Column:
-        tries = number if number is not None else F.lit(0) if attempts is None else F.coalesce(F.try_element_at(attempts, _known(x["kind"], x["base"])), F.lit(0))
-        return _let(F.struct(x["kind"].alias("kind"), x["base"].alias("base"), tries.alias("tries")), made)
+        return _let(F.struct(x["kind"].alias("kind"), x["base"].alias("base"), tries_of(x["kind"], x["base"]).alias("tries")), made)
 
     return _let(F.struct(kind_of(m).alias("kind")), lambda x: _let(F.struct(x["kind"].alias("kind"), canonical(m, x["kind"]).alias("base")), counted))
 
@@ -209,16 +312,36 @@ def _letters(s: Column) -> Column:
     return F.translate(F.substring(F.sha2(s, 256), F.lit(1), F.lit(16)), "0123456789abcdef", "abcdefghijklmnop")
 
 
-def _found(text: Column) -> Column:
-    none = F.array().cast("array<string>")
-    return F.when(text.rlike(_MAYBE), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(none)
+def _pieces(text: Column) -> Column:
+    """The text cut at its matches: what stands between them at even places, the matches at odd ones."""
+    found = F.struct(F.split(text, PATTERN, -1).alias("between"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("found"))
+    twice = _let(found, lambda x: F.filter(F.flatten(F.transform(x["between"], lambda p, i: F.array(p, F.get(x["found"], i)))), lambda p: p.isNotNull()))
+    once = F.split(F.regexp_replace(text, PATTERN, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    return F.when(text.isNull(), None).when(~text.rlike(_MAYBE), F.array(text)).when(text.contains(_MARK), twice).otherwise(once)
+
+
+def spot(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, pieces): the one pass of the pattern over the texts; the pieces in a row are the text."""
+    return docs.select(F.col(doc_id).alias("doc_id"), _pieces(F.col(text)).alias("pieces"))
+
+
+def _entities_of(m: Column) -> Column:
+    """(kind, base, match) of the entities in a match: one, but for names, whose surname and given name are two."""
+    whole = lambda kind, base: F.struct(kind.alias("kind"), base.alias("base"), m.alias("match"))
+    names = _let(_named(m), lambda x: F.filter(F.array(whole(F.lit("name"), F.lower(x["surname"])), F.when(x["given"].isNotNull(), whole(F.lit("given"), x["base"]))), lambda e: e.isNotNull()))
+    return _let(kind_of(m), lambda k: F.when(k == "name", names).otherwise(F.array(whole(k, canonical(m, k)))))
+
+
+def _spotted_entities(spotted: DataFrame) -> DataFrame:
+    """The distinct (kind, base, match, n) of all pieces; one row of each match form, whatever its frequency."""
+    rows = spotted.select(F.explode(F.filter("pieces", lambda p, i: i % 2 == 1)).alias("match")).groupBy("match").agg(F.count("*").alias("n"))
+    rows = rows.select(F.explode(_entities_of(F.col("match"))).alias("e"), "n").where("e.kind is not null")
+    return rows.select("e.kind", "e.base", "e.match", "n")
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The distinct (kind, base, match) of all texts; one row of each match form, whatever its frequency."""
-    rows = docs.select(F.explode(_found(F.col(text))).alias("match")).groupBy("match").agg(F.count("*").alias("n"))
-    rows = rows.select("match", "n", kind_of(F.col("match")).alias("kind")).where("kind is not null")
-    return rows.select("kind", canonical(F.col("match"), F.col("kind")).alias("base"), "match", "n")
+    """The distinct (kind, base, match, n) of all texts."""
+    return _spotted_entities(spot(docs.withColumn("_none", F.lit(None)), "_none", text))
 
 
 def _saturated(found: DataFrame) -> DataFrame:
@@ -236,9 +359,9 @@ def _formatted(found: DataFrame) -> DataFrame:
     shape = F.translate(inner, _ALL, "".join(letters[0] * len(letters) for letters in ALPHABETS))
     size = sum(((F.length(shape) - F.length(F.replace(shape, F.lit(letters[0])))) * math.log(len(letters)) for letters in ALPHABETS), F.lit(0.0))
     # Addresses are one format of 2^32; names come from sets that grow.
-    fixed = kind.isin("ip", "name")
+    fixed = kind.isin("ip", "name", "given")
     form = F.when(fixed, "").otherwise(F.concat_ws("|", plus.cast("string"), F.substring(base, F.lit(1), head), shape, F.substring(base, n - tail + 1, tail)))
-    return found.withColumns({"format": form, "strings": F.when(kind == "ip", 32 * math.log(2)).when(kind == "name", 1e9).otherwise(size)})
+    return found.withColumns({"format": form, "strings": F.when(kind == "ip", 32 * math.log(2)).when(kind.isin("name", "given"), 1e9).otherwise(size)})
 
 
 def exceptions(spark: SparkSession, docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -246,7 +369,21 @@ def exceptions(spark: SparkSession, docs: DataFrame, key: str, text: str = "text
 
     Each round makes surrogates only of the entities that still meet, so that rounds get smaller until none is left.
     """
-    found = stored(spark, _formatted(entities(docs, text).groupBy("kind", "base").agg(F.min("match").alias("match"))), "entities")
+    return _exceptions(spark, spot(docs.withColumn("_none", F.lit(None)), "_none", text), key)
+
+
+def _form(key: str) -> Column:
+    """What an entity's surrogate is to the collision check; given names meet only with those of one surname and gender."""
+    kind, base, number = F.col("kind"), F.col("base"), F.col("number")
+    part = lambda i: F.split_part(base, F.lit("|"), F.lit(i))
+    given = F.concat_ws("|", F.lit("made"), part(1), made_given(base, key, number), part(3))
+    other = canonical(surrogate(F.col("match"), key, number=number), kind)
+    return F.when(kind == "name", made_surname(base, key, number)).when(kind == "given", given).otherwise(other)
+
+
+def _exceptions(spark: SparkSession, spotted: DataFrame, key: str) -> DataFrame:
+    """exceptions() of the rows of spot()."""
+    found = stored(spark, _formatted(_spotted_entities(spotted).groupBy("kind", "base").agg(F.min("match").alias("match"))), "entities")
     forms = found.select("kind", F.col("base").alias("form"))
     full = stored(spark, _saturated(found), "saturated")
     state = found.select("kind", "base", "match", "format")
@@ -258,7 +395,7 @@ def exceptions(spark: SparkSession, docs: DataFrame, key: str, text: str = "text
     state = state.select("kind", "base", "match", (F.col("full") & (F.col("kind") != "email")).alias("fixed"), F.when(F.col("full") & (F.col("kind") == "email"), _ATTEMPTS).otherwise(0).alias("number"))
     settled, out = None, None
     while True:
-        made = state.select("*", surrogate(F.col("match"), key, number=F.col("number")).alias("made")).withColumn("form", canonical(F.col("made"), F.col("kind"))).drop("made")
+        made = state.withColumn("form", _form(key))
         made = stored(spark, made, "made")
         # Of equal ones the first stays, and what may have no other attempt comes first.
         first = F.min(F.struct(~F.col("fixed"), F.col("base")))["base"]
@@ -293,29 +430,43 @@ def attempts(spark: SparkSession, docs: DataFrame, key: str, text: str = "text")
 
 
 def _with_tries(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows, which have text, with tries: a map of the exceptions among the text's entities. Equal texts share one map."""
-    here = F.xxhash64("text")
-    each = rows.select(here.alias("_at"), F.explode("found").alias("match")).distinct().withColumn("kind", kind_of(F.col("match"))).where("kind is not null")
-    each = each.select("_at", "kind", canonical(F.col("match"), F.col("kind")).alias("base")).distinct().join(found, ["kind", "base"])
+    """rows of spot() with tries: a map of the exceptions among the text's entities. Equal texts share one map."""
+    here = F.xxhash64("pieces")
+    each = rows.select(here.alias("_at"), F.explode(F.filter("pieces", lambda p, i: i % 2 == 1)).alias("match")).distinct()
+    each = each.select("_at", F.explode(_entities_of(F.col("match"))).alias("e")).where("e.kind is not null")
+    each = each.select("_at", "e.kind", "e.base").distinct().join(found, ["kind", "base"])
     maps = each.groupBy("_at").agg(F.map_from_entries(F.collect_set(F.struct(_known(F.col("kind"), F.col("base")), "number"))).alias("tries"))
     return rows.withColumn("_at", here).join(maps, "_at", "left").drop("_at")
 
 
 def replace(docs: DataFrame, key: str, tries: dict[str, int] | DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text, n_entities, kinds): each row's text with its entities replaced, their number, and the kinds met; tries: from attempts() or exceptions()."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("found", F.coalesce(_found(F.col("text")), F.array().cast("array<string>")))
+    return _replaced(spot(docs, doc_id, text), key, tries)
+
+
+def _replaced(rows: DataFrame, key: str, tries: dict[str, int] | DataFrame | None) -> DataFrame:
+    """replace() of the rows of spot()."""
     if isinstance(tries, DataFrame) and (few := _literal(tries)) is not None:
         tries = few
     if isinstance(tries, DataFrame):
         rows, tries = _with_tries(rows, tries), F.col("tries")
-    rows = rows.withColumn("made", F.transform("found", lambda m: F.struct(m.alias("match"), surrogate(m, key, tries).alias("made"))))
-    between = F.split(F.col("text"), PATTERN, -1)
-    parts = F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.get("made.made", i), F.get("made.match", i), F.lit(""))))
-    true = F.filter("made", lambda x: x["made"].isNotNull())
+    none = F.lit(None).cast("string")
+
+    def piece(p: Column, i: Column) -> Column:
+        new = _let(surrogate(p, key, tries), lambda made: F.struct(F.coalesce(made, p).alias("text"), F.when(made.isNotNull(), kind_of(p)).alias("kind")))
+        return F.when(i % 2 == 1, new).otherwise(F.struct(p.alias("text"), none.alias("kind")))
+
+    rows = rows.withColumn("made", F.transform("pieces", piece))
+    kinds = F.filter("made.kind", lambda k: k.isNotNull())
     return rows.select(
         "doc_id",
-        F.when(F.size("found") > 0, F.array_join(parts, "")).otherwise(F.col("text")).alias("text"),
-        F.size(true).cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform(true, lambda x: kind_of(x["match"])))), ",").alias("kinds"),
+        F.array_join("made.text", "").alias("text"),
+        F.coalesce(F.size(kinds), F.lit(0)).cast("long").alias("n_entities"),
+        F.coalesce(F.array_join(F.array_sort(F.array_distinct(kinds)), ","), F.lit("")).alias("kinds"),
     )
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """replace() with the collision check; the texts are searched once, and their pieces stored for both."""
+    rows = stored(spark, spot(docs, doc_id, text), "pieces")
+    return _replaced(rows, key, _exceptions(spark, rows, key))

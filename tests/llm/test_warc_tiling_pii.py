@@ -162,6 +162,74 @@ def test_surrogates(spark, docs):
     assert other != out[1].text
 
 
+def made(spark, texts, key="k"):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(surrogates.surrogates(spark, d, key).collect())]
+
+
+def test_names_keep_coreference_gender_script_and_case(spark):
+    out = made(spark, ["Mr John Smith met Mr Smith, Dr Smith's aide, Dr John Smith and MRS SMITH", "Mr SMITH or Frau Anna Smith", "Herr Иван Иванов, Господин Иванов", "Κύριος Νίκος Παππάς", "Mr James Smith", "Dr Anna Smith", "Mr O'Neil-Smith."])
+    first = re.fullmatch(r"Mr (\w+) (\w+) met Mr (\w+), Dr (\w+)'s aide, Dr (\w+) (\w+) and MRS SMITH", out[0])
+    given, surname, *rest = first.groups()
+    assert rest == [surname, surname, given, surname] and given in surrogates.GIVEN["latin"]["m"].split()
+    upper, female = re.fullmatch(r"Mr (\w+) or Frau (\w+) " + surname, out[1]).groups()
+    assert upper == surname.upper() and female in surrogates.GIVEN["latin"]["f"].split() and out[5] == f"Dr {female} {surname}"
+    a, b, c = re.fullmatch(r"Herr ([а-яёА-ЯЁ]+) ([а-яА-Я]+), Господин ([а-яА-Я]+)", out[2]).groups()
+    assert b == c != "Иванов" and a in surrogates.GIVEN["cyrillic"]["m"].split()
+    assert re.fullmatch(r"Κύριος [Α-Ωα-ωάέήίόύώ]+ [Α-Ωα-ω]+", out[3]) and "Παππάς" not in out[3]
+    assert re.fullmatch(rf"Mr [\w-]+ {surname}", out[4]) and out[4] != f"Mr {given} {surname}"
+    assert out[6].startswith("Mr ") and out[6].endswith(".") and "Neil" not in out[6]
+
+
+def test_many_given_names_of_one_surname_stay_distinct(spark):
+    texts = [f"{t} N{chr(97 + i // 26)}{chr(97 + i % 26)}o Smith" for i in range(30) for t in ("Mr", "Ms")]
+    out = made(spark, texts)
+    assert len(set(out)) == len(texts) and len({x.split()[-1] for x in out}) == 1
+    for title, gender in (("Mr", "m"), ("Ms", "f")):
+        used = {p for x in out if x.startswith(title) for p in x.split()[1].split("-")}
+        assert used <= set(surrogates.GIVEN["latin"][gender].split())
+
+
+def test_texts_that_hold_the_mark_and_long_texts(spark):
+    texts = [f"a{surrogates._MARK}b 10.0.0.1 c{surrogates._MARK}", "10.0.0.1", "x " * 200_000 + "10.0.0.1", "10.0.0.1 10.0.0.1", surrogates._MARK]
+    out = made(spark, texts)
+    assert out == [t.replace("10.0.0.1", out[1]) for t in texts] and out[1] != "10.0.0.1"
+
+
+def test_surrogates_are_a_bijection_that_keeps_the_format(spark):
+    """Against plain Python: the same entities in any writing have the same surrogate, different ones different ones."""
+    rnd = random.Random(6)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    card = lambda b: b + str(next(d for d in range(10) if luhn(b + str(d))))
+    make = {
+        "ip": lambda: [".".join(str(rnd.randrange(256)) for _ in range(4))],
+        "ssn": lambda: [f"{digits(3)}-{digits(2)}-{digits(4)}"],
+        "card": lambda: (lambda c: [c, f"{c[:4]} {c[4:8]} {c[8:12]} {c[12:]}", f"{c[:4]}-{c[4:8]}-{c[8:12]}-{c[12:]}"])(card("4" + digits(14))),
+        "phone": lambda: (lambda a, b, c: [f"{a}-{b}-{c}", f"{a}.{b}.{c}"])(digits(3), digits(3), digits(4)),
+        "email": lambda: (lambda x: [x, x.upper()])("".join(rnd.choice("abcxyz") for _ in range(6)) + "@ab-c.org"),
+        "iban": lambda: (lambda x: [x, " ".join(x[i : i + 4] for i in range(0, len(x), 4))])("DE" + digits(18)),
+    }
+    groups = {kind: list({g[0]: g for g in (f() for _ in range(200))}.values()) for kind, f in make.items()}
+    out = iter(made(spark, [x for own in groups.values() for g in own for x in g]))
+    for kind, own in groups.items():
+        plain = lambda x, kind=kind: re.sub({"email": r"[^a-z0-9@.]", "ip": r"[^0-9.]"}.get(kind, r"[^a-z0-9]"), "", x.lower())
+        form = lambda x, kind=kind: re.sub(r"\d+" if kind == "ip" else r"\d", "0", re.sub("[A-Z]", "A", re.sub("[a-z]", "a", x)))
+        seen, before = {}, {plain(g[0]) for g in own}
+        for g in own:
+            new = [next(out) for _ in g]
+            assert len({plain(x) for x in new}) == 1 and [form(x) for x in new] == [form(x) for x in g]
+            assert seen.setdefault(plain(new[0]), g[0]) == g[0] and plain(new[0]) not in before
+            assert kind != "card" or luhn(plain(new[0])) and plain(new[0])[0] == "4"
+
+
+def test_clashing_columns_of_pii(spark):
+    names = ["pieces", "made", "found", "tries", "kind", "base", "match", "_none", "_at", "number", "kinds"]
+    d = spark.createDataFrame([(1, "call 555-123-4567", *[9] * len(names))], ["doc_id", "text", *names])
+    row = surrogates.surrogates(spark, d, "k").first()
+    assert row.n_entities == 1 and row.kinds == "phone" and re.fullmatch(r"call \d{3}-\d{3}-\d{4}", row.text)
+    assert surrogates.surrogates(spark, d.limit(0), "k").count() == 0
+
+
 def test_surrogates_are_distinct(spark):
     mails = [f"{a}{b}.{i:02d}@m.example.com" for a in "ab" for b in "cd" for i in range(100)]
     names = [f"Dr N{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
