@@ -9,18 +9,23 @@ parts' registers, and equal registers are as likely as the sets are similar. So:
    similarity is estimated by maximum likelihood from how many registers are larger, smaller and equal together with both set sizes.
    Likely pairs, which are not clearly (4.5 standard errors) below the threshold, tie classes together to neighbourhoods;
 3. what a bucket's members may still share without its smallest id: members of one bucket in different neighbourhoods are compared by
-   their estimates too, in tiles of bounded size where the bucket is large. So every likely pair of any bucket is within one neighbourhood;
+   their estimates too. In large buckets only members outside the bucket's largest neighbourhood meet all others, in tiles of bounded
+   size. So every likely pair of any bucket is within one neighbourhood;
 4. the classes of a neighbourhood are verified on their full shingle sets: intersections of all its pairs come from one product of an
    incidence matrix of the shingles that occur twice. Only a spanning forest of the true links leaves a task;
-5. a neighbourhood of more than TILE classes is cut into blocks. First each block by itself, then the components' smallest members
-   across blocks, and then every member outside the largest component against all members of other components, block by block.
+5. a neighbourhood of more than TILE classes or TILE_SHINGLES shingles is cut into blocks, each of which also gets the neighbourhood's
+   smallest id, so that copies of one text mostly become one component at once. What components are left are compared by their smallest
+   members across blocks, and then every member outside the largest component meets all members of other components, block by block.
 
-Buckets and neighbourhoods have no cap, and no likely pair is left out.
+Buckets and neighbourhoods have no cap, and no likely pair is left out. A task holds the texts of one block, or of two: TILE texts with
+about TILE_SHINGLES words at most, or one longer text.
 
 A pair of the threshold's similarity shares no bucket with a probability of at most 1e-6.
 
 Defined results: null, empty and all-space texts have the empty set and link with nothing; shorter texts have their whole sequence as
-one shingle; rows of one id count as one document; a null id links with nothing and is kept; an empty table gives an empty table.
+one shingle; very long texts count whole; rows of one id count as one document, which has the links of all its texts, whether they are
+equal (a tie changes nothing) or not; a null id links with nothing and is kept; extra columns are dropped, whatever their names; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,10 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import Forest, components, grouped, links_batch, stored
+from quire.llm.shared import Forest, components, grouped, links_batch, stored, ties_of_repeated
 from quire.llm.textcore import SPACE_TABLE, binary_rows, distinct, fmix, sequence_keys, shingles, slices, utf8, words
 
 REGISTERS = 192
@@ -41,7 +46,8 @@ BASE = 1.001
 RATE = 20.0
 #: Members of a bucket up to which its pairs are made by a join on the bucket; larger ones are tiled.
 SMALL = 64
-TILE = 512
+#: Texts, and about as many shingles, of a block whose texts all meet each other.
+TILE, TILE_SHINGLES = 512, 1 << 20
 _RNG = np.random.Generator(np.random.PCG64(77))
 _MULTIPLY = _RNG.integers(1, 2**64 - 1, size=REGISTERS, dtype=np.uint64) | np.uint64(1)
 _ADD = _RNG.integers(1, 2**64 - 1, size=REGISTERS, dtype=np.uint64)
@@ -150,18 +156,23 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
 
 
 def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs (a, b) that tie different neighbourhoods of a large bucket: blocks of members meet in pairs of blocks."""
+    """Likely pairs (a, b) that tie different neighbourhoods of a large bucket: members outside its largest one meet all, in blocks."""
     cut = cut_of(threshold)
-    cut_up = placed.withColumn("blocks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    cut_up = cut_up.select("bucket", "id", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    full = cut_up.join(classes.select("id", "n", "registers"), "id")
-    full = full.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n", "registers")
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    most = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    rest = F.col("component") != F.col("largest")
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    dealt = placed.select("bucket", "id", "component").join(most, "bucket")
+    dealt = dealt.withColumns({"rows": F.ceil((F.col("all") - F.col("most")) / TILE).cast("int"), "columns": F.ceil(F.col("all") / TILE).cast("int")})
+    left = dealt.where(rest).select("bucket", place("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("query"), "id", "component")
+    right = dealt.select("bucket", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), place("columns").alias("j"), F.lit(False).alias("query"), "id", "component")
+    full = left.unionAll(right).join(classes.select("id", "n", "registers"), "id").select("bucket", "i", "j", "query", "id", "component", "n", "registers")
 
     def ties(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(rows)
-        i, j, block, ids, comp, n = (t.column(c).to_numpy() for c in (1, 2, 3, 4, 5, 6))
+        query, ids, comp, n = (t.column(c).to_numpy() for c in (3, 4, 5, 6))
         regs = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint16).reshape(len(t), REGISTERS)
-        left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+        left, right = np.flatnonzero(query), np.flatnonzero(~query)
         forest, out = Forest(), []
         for x in left:
             y = right[(comp[right] != comp[x]) & (np.minimum(n[right], n[x]) >= threshold * np.maximum(n[right], n[x]))]
@@ -172,7 +183,12 @@ def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                         out.append((int(ids[x]), int(ids[z])))
         return links_batch(out) if out else None
 
-    return full.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(grouped(3, ties), "a long, b long")
+    return full.repartition(_tasks(placed), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(grouped(3, ties), "a long, b long")
+
+
+def _tasks(rows: DataFrame) -> int:
+    """Partitions of blocks to compare: work, not bytes, tells how many are needed, so they are not coalesced."""
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +237,7 @@ def _within(rows: DataFrame, k: int, percent: int) -> DataFrame:
                 out.append((int(ids[a]), int(ids[b])))
         return links_batch(out) if out else None
 
-    placed = rows.select(F.col("part"), "i", "j", "side", "id", "component", "text").repartition("part", "i", "j").sortWithinPartitions("part", "i", "j", "id")
+    placed = rows.select(F.col("part"), "i", "j", "side", "id", "component", "text").repartition(_tasks(rows), "part", "i", "j").sortWithinPartitions("part", "i", "j", "id")
     return placed.mapInArrow(grouped(3, links), "a long, b long")
 
 
@@ -233,28 +249,41 @@ def _relabel(spark: SparkSession, rows: DataFrame, links: DataFrame) -> DataFram
     return rows.join(joined, "component", "left").withColumn("component", F.coalesce("_low", "component")).drop("_low").select(*rows.columns)
 
 
+def _blocks(count: Column, shingles_: Column) -> Column:
+    """Blocks that so many texts with so many shingles are cut into."""
+    return F.greatest(F.ceil(count / TILE), F.ceil(shingles_ / TILE_SHINGLES)).cast("int")
+
+
 def _large(spark: SparkSession, rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """(id, component) of the classes of large neighbourhoods: rows (part, id, component, text), component by blocks already."""
-    blocks = lambda n: F.ceil(F.col(n) / TILE).cast("int")
+    """(id, component) of the classes of large neighbourhoods: rows (part, id, n, component, text), component by blocks already."""
     place = lambda n: F.pmod(F.xxhash64("id", F.lit(3)), F.col(n)).cast("int")
     heads = rows.where("id = component")
-    count = heads.groupBy("part").agg(F.count("*").alias("n"))
-    tiles = heads.join(count, "part").withColumn("blocks", blocks("n")).withColumn("own", place("blocks"))
+    count = heads.groupBy("part").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    tiles = heads.join(count, "part").withColumn("own", place("blocks"))
     tiles = tiles.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     i, j = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(i == j, 0).when(F.col("own") == i, 1).otherwise(2)
     links = _within(tiles.select("part", i.alias("i"), j.alias("j"), side.alias("side"), "id", "component", "text"), k, percent)
     rows = stored(spark, _relabel(spark, rows, links), "large")
 
-    sizes = rows.groupBy("part", "component").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("part").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("x"), F.sum("n").alias("all"))
-    most = most.select("part", (-F.col("x.c")).alias("largest"), "all", (F.col("all") - F.col("x.n")).alias("rest")).where("rest > 0")
-    open_ = rows.join(most, "part").withColumns({"rows": blocks("rest"), "columns": blocks("all")})
+    sizes = rows.groupBy("part", "component").agg(F.count("*").alias("n"), F.sum("n").alias("s"))
+    most = sizes.groupBy("part").agg(F.max(F.struct("n", (-F.col("component")).alias("c"), "s")).alias("x"), F.sum("n").alias("all"), F.sum("s").alias("sum"))
+    most = most.where("all > x.n").select("part", (-F.col("x.c")).alias("largest"), _blocks(F.col("all") - F.col("x.n"), F.col("sum") - F.col("x.s")).alias("rows"), _blocks(F.col("all"), F.col("sum")).alias("columns"))
+    open_ = rows.join(most, "part")
     left = open_.where("component <> largest").select("part", place("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(1).alias("side"), "id", "component", "text")
     right = open_.select("part", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), place("columns").alias("j"), F.lit(2).alias("side"), "id", "component", "text")
     return _relabel(spark, rows.select("id", "component"), _within(left.unionAll(right), k, percent))
 
 
+def _united(spark: SparkSession, there: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """found (id, component), with the classes of each id that has several texts in one component."""
+    links = ties_of_repeated(spark, there.select(F.col("doc_id").alias("id"), "k1", "k2"), classes)
+    if links is None:
+        return found
+    rows = classes.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    return stored(spark, _relabel(spark, rows, links), "components")
+
+
 def link(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row: component_id is the smallest id reachable over links."""
     threshold, rows = percent / 100, rows_a_band(percent / 100)
@@ -277,23 +306,27 @@ def link(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, do
     pairs = few.join(other, "bucket").where(f"id < id2 and component <> component2 and least(n, n2) >= {threshold} * greatest(n, n2)")
     pairs = _likely(pairs.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct(), classes, threshold)
     ties = stored(spark, pairs.unionAll(_apart(placed.where(f"size > {SMALL}"), classes, threshold)).distinct(), "ties")
-    near = classes.select("id").join(near, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    near = classes.select("id").distinct().join(near, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     near = stored(spark, _relabel(spark, near, ties), "near")
 
-    parts = near.groupBy(F.col("component").alias("part")).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
+    sized = classes.groupBy("id").agg(F.sum("n").alias("n"), F.count("*").alias("classes")).join(near.select("id", F.col("component").alias("part")), "id")
+    parts = sized.groupBy("part").agg(F.sum("classes").alias("c"), _blocks(F.sum("classes"), F.sum("n")).alias("blocks")).where("c > 1").drop("c")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    within = near.select("id", F.col("component").alias("part")).join(parts, "part").select("id", "part", "blocks")
-    within = stored(spark, texts.join(within, "id").dropDuplicates(["id"]), "within").withColumn("component", F.col("id"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    within = sized.select("id", "n", "part").join(parts, "part").select("id", "n", "part", "blocks")
+    # Rows of one id may have different texts: each of them is verified.
+    within = stored(spark, texts.join(within, "id").dropDuplicates(["id", "text"]), "within").withColumn("component", F.col("id"))
+    last, own = F.col("blocks") - 1, F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    block = F.explode(F.when(F.col("id") == F.col("part"), F.sequence(F.lit(0), last)).otherwise(F.array(own)))
     first = _within(within.select("part", block.alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "id", "component", "text"), k, percent)
-    labelled = stored(spark, _relabel(spark, within.select("id", "component"), first), "labelled")
-    small = labelled.join(within.where("blocks = 1").select("id"), "id")
-    large = within.where("blocks > 1").select("part", "id", "text").join(labelled, "id").select("part", "id", "component", "text")
+    labelled = stored(spark, _relabel(spark, within.select("id", "component").distinct(), first), "labelled")
+    small = labelled.join(within.where("blocks = 1").select("id").distinct(), "id")
+    large = within.where("blocks > 1").select("part", "id", "n", "text").join(labelled, "id").select("part", "id", "n", "component", "text")
     if (large := stored(spark, large, "large")).isEmpty():
         found = small
     else:
         found = small.unionAll(_large(spark, large, k, percent))
-    found = stored(spark, found, "components")
+    found = stored(spark, found.distinct(), "components")
+    found = _united(spark, there, classes, found)
     final = classes.select("k1", "k2", "id").join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
     out = keyed.drop("registers").join(final, ["k1", "k2"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))

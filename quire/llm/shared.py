@@ -129,3 +129,16 @@ def components(spark: SparkSession, edges: DataFrame, most_rounds: int = 60) ->
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)")), F.sum(F.xxhash64("m", "v", F.lit(1)).cast("decimal(38,0)"))).first()
     return tuple(row)
+
+
+def ties_of_repeated(spark: SparkSession, rows: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the classes of each id that stands in several; None if there is no such id.
+
+    rows: id, k1, k2; classes: k1, k2 and id, the one that stands for the class.
+    """
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("k1", "k2") for f in (F.min, F.max)]
+    several = stored(spark, rows.groupBy("id").agg(*ends).where("min_k1 <> max_k1 or min_k2 <> max_k2").select("id"), "several")
+    if several.isEmpty():
+        return None
+    mine = rows.join(several, "id").select(F.col("id").alias("row"), "k1", "k2").join(classes.select("k1", "k2", "id"), ["k1", "k2"]).select("row", "id").distinct()
+    return mine.join(mine.groupBy("row").agg(F.min("id").alias("b")), "row").where("id <> b").select(F.col("id").alias("a"), "b")
