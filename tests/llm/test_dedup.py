@@ -98,6 +98,44 @@ def test_null_and_repeated_ids_and_empty_tables(spark):
     assert setsketch.link(spark, d.limit(0), 3, 85).count() == 0
 
 
+def near(rnd, base, n):
+    copy = list(base)
+    for _ in range(n):
+        copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(10_000)}"
+    return " ".join(copy)
+
+
+def test_one_id_with_several_texts_has_the_links_of_all(spark):
+    rnd = random.Random(3)
+    a, b, c = ([f"{x}{i}" for i in range(120)] for x in "abc")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (6, near(rnd, a, 1)), (7, near(rnd, b, 1)), (20, " ".join(c)), (21, " ".join(c)), (21, near(rnd, a, 1)), (30, "alone"), (30, "alone")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in setsketch.link(spark, d, 3, 85).collect())
+    assert got == [(i, 30 if i == 30 else 5) for i, _ in rows]
+
+
+@pytest.mark.parametrize("most", ["TILE", "TILE_SHINGLES"])
+def test_blocks_are_cut_by_rows_and_by_shingles(spark, monkeypatch, most):
+    monkeypatch.setattr(setsketch, most, 4 if most == "TILE" else 300)
+    monkeypatch.setattr(setsketch, "SMALL", 4)
+    rnd = random.Random(12)
+    corpus = []
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(100)]
+        corpus += [near(rnd, base, rnd.choice([0, 1, 2, 4, 6])) for _ in range(20)]
+        base = near(rnd, base, 9).split()
+        corpus += [near(rnd, base, rnd.choice([1, 2])) for _ in range(6)]
+    expected = union_find(len(corpus), brute_links(brute_sets(corpus, 3), 85))
+    docs = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string").repartition(5)
+    assert [r.component_id for r in sorted(setsketch.link(spark, docs, 3, 85).collect())] == expected
+
+
+def test_clashing_columns(spark):
+    names = ["id", "component", "part", "n", "k1", "k2", "bucket", "head", "registers", "blocks", "a", "b"]
+    d = spark.createDataFrame([(i, "a b c d", *["x"] * len(names)) for i in (4, 2)], ["doc_id", "text", *names])
+    assert sorted((r.doc_id, r.component_id) for r in setsketch.link(spark, d, 3, 85).collect()) == [(2, 2), (4, 2)]
+
+
 def test_likelihood_is_close_to_the_similarity():
     rng = np.random.default_rng(4)
     found, true = [], []
@@ -140,7 +178,7 @@ def vectors():
 
 
 def test_embeddings_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embed_sorted, "TILE", 16)
+    monkeypatch.setattr(embed_sorted, "STRIP", 16)
     rows = vectors()
     good = [x is not None and len(x) and None not in x and np.isfinite(x).all() and any(x) for x in rows]
     unit = [np.array(x) / max(map(abs, x)) if g else None for x, g in zip(rows, good, strict=True)]
@@ -149,13 +187,37 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     pairs = [(i, j) for i in range(n) for j in range(i) if good[i] and good[j] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.95]
     degree = np.bincount([x for p in pairs for x in p], minlength=n)
     v = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
-    out = sorted(embed_sorted.link(spark, v).collect())
-    assert [r.n_links for r in out] == degree.tolist()
-    assert [r.component_id for r in out] == union_find(n, pairs)
-    assert all(r.kept == (r.vec_id == r.component_id) for r in out)
+    for settings in ({}, {"window": 8, "block_bytes": 1 << 11}):
+        out = sorted(embed_sorted.link(spark, v, **settings).collect())
+        assert [r.n_links for r in out] == degree.tolist()
+        assert [r.component_id for r in out] == union_find(n, pairs)
+        assert all(r.kept == (r.vec_id == r.component_id) for r in out)
     assert embed_sorted.link(spark, v.limit(0)).count() == 0
 
 
+def test_null_repeated_ids_and_clashing_columns_of_embeddings(spark):
+    a, b, c = [1.0, 0.0], [0.0, 1.0], [-1.0, 0.01]
+    names = ["id", "v", "key", "dim", "row", "at", "component", "core", "weight", "k1", "k2", "n"]
+    rows = [(None, a), (5, a), (5, b), (6, [1.0, 0.01]), (7, [0.01, 1.0]), (8, c), (8, c), (9, None), (9, c), (None, None)]
+    d = spark.createDataFrame([(i, v, *["x"] * len(names)) for i, v in rows], "vec_id long, embedding array<double>, " + ", ".join(f"{n} string" for n in names))
+    out = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embed_sorted.link(spark, d).collect()), key=str)
+    assert out == sorted([(None, 0, None, True)] * 2 + [(5, 1, 5, True)] * 2 + [(6, 1, 5, False), (7, 1, 5, False), (8, 2, 8, True), (8, 2, 8, True), (9, 0, 9, True), (9, 2, 8, False)], key=str)
+
+
+def test_windows_tell_where_they_are_short():
+    rng = np.random.default_rng(2)
+    keys = np.sort(np.r_[rng.integers(0, 2**62, 300), rng.integers(0, 2**40, 200), [5] * 40, [2**62 - 1] * 3])
+    bits = [format(int(k), "062b") for k in keys]
+    share = lambda x, y: next((i for i in range(62) if x[i] != y[i]), 62)
+    assert [share(bits[i], bits[i + 7]) for i in range(500)] == embed_sorted._shared_signs(keys[:500], keys[7:507]).tolist()
+    for depth in (1, 4, 9):
+        got = embed_sorted._short(keys, 12, depth, True, True)
+        assert got.tolist() == [any(abs(i - j) > 12 and share(bits[i], bits[j]) >= depth for j in range(len(keys))) for i in range(len(keys))]
+        # A part of the order alone may only tell of more short windows.
+        part = embed_sorted._short(keys[100:400], 12, depth, False, False)
+        assert (part | ~got[100:400]).all()
+
+
 def test_no_link_is_lost_in_dense_regions(spark):
     rng = np.random.default_rng(3)
     topic = rng.standard_normal(16)
@@ -164,7 +226,7 @@ def test_no_link_is_lost_in_dense_regions(spark):
     unit = np.array(rows) / np.linalg.norm(rows, axis=1)[:, None]
     pairs = [(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.95)) if j < i]
     v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rows)], "vec_id long, embedding array<double>").repartition(3)
-    for passes, window, block in ((1, 1, 1 << 12), (2, 2, 1 << 22)):
-        out = sorted(embed_sorted.link(spark, v, passes=passes, window=window, block_bytes=block).collect())
+    for settings in ({"passes": 1, "window": 1, "block_bytes": 1 << 12}, {"window": 4}):
+        out = sorted(embed_sorted.link(spark, v, **settings).collect())
         assert [r.n_links for r in out] == np.bincount(np.array(pairs).ravel(), minlength=len(rows)).tolist()
         assert [r.component_id for r in out] == union_find(len(rows), pairs)
