@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import html
 import io
+import json
+import uuid
 import zipfile
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +16,31 @@ from pyspark.sql import functions as F
 from quire.operators.contracts import payload_problems
 
 
+def put_file(uri: str, data: bytes) -> None:
+    """Writes a file in one step: under a name of its own first, then renamed, so that a lost or repeated task leaves no half file."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    folder, _, name = path.rpartition("/")
+    store.create_dir(folder, recursive=True)
+    temporary = f"{folder}/.{name}.{uuid.uuid4().hex}.tmp"
+    try:
+        with store.open_output_stream(temporary, compression=None) as out:
+            out.write(data)
+        if store.get_file_info(path).type != fs.FileType.NotFound:
+            store.delete_file(path)  # some stores do not rename onto a file
+        store.move(temporary, path)
+    except BaseException:
+        if store.get_file_info(temporary).type != fs.FileType.NotFound:
+            store.delete_file(temporary)
+        raise
+
+
+def put_json(uri: str, value: Any) -> None:
+    """A JSON file in one step: two spaces of indent, characters as they are, a line end behind it."""
+    put_file(uri, (json.dumps(value, ensure_ascii=False, indent=2) + "\n").encode())
+
+
 def stamp(station: Column, fingerprint: Column, model: Column | None = None, prompt: Column | None = None, tokens_in: Column | None = None, tokens_out: Column | None = None, cost: Column | None = None) -> Column:
     """A provenance stamp in JSON: what is not known is left out; output tokens only together with input tokens."""
     none = F.lit(None).cast("string")
