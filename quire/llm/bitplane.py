@@ -8,8 +8,9 @@ the chunk index (each chunk's place, ids and plane lengths) and the documents wi
     footer  = zstandard(JSON: planes, block, chunks [[offset, ids, plane lengths]], docs [doc_id], lengths [ids])
 
 Files are written to the shared folder under a temporary name and renamed, and a manifest table lists those that count. Documents
-are in ascending id order over all files; the first ids are null ones. Null and empty texts have only the end id. Repeated ids
-each have a row, ordered by text. An empty table gives no files and no rows.
+are in ascending id order over all files; the first ids are null ones. Null and empty texts have only the end id. Very long texts are
+encoded in spans that end where a piece ends and may fill a file by themselves. Repeated ids each have a row, ordered by text, and equal
+texts equal ids. Extra columns are dropped, whatever their names. An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import json
 import os
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.chunks import PieceCache
-from quire.llm.shared import put_file, shared_dir, stored
+from quire.llm.shared import put_file, shared_dir, stored, tidy
 from quire.llm.textcore import binary_rows, slices, utf8
 
 MAGIC = b"QBP1"
@@ -230,7 +232,7 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, bit
 
         def close() -> pa.RecordBatch:
             nonlocal number
-            uri, n_docs, n_ids = f"{folder}/{shard:06d}-{number:06d}.qbp", len(out.docs), out.ids
+            uri, n_docs, n_ids = f"{folder}/{shard:06d}-{number:06d}-{uuid.uuid4().hex}.qbp", len(out.docs), out.ids
             put_file(uri, out.file())
             number += 1
             return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "file": pa.array([number - 1], pa.int32()), "uri": [uri], "n_docs": [n_docs], "n_ids": [n_ids]})
@@ -244,8 +246,10 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, bit
                         yield close()
         if out.docs:
             yield close()
+        if encoder.cache is not None:
+            encoder.cache.forget()
 
-    manifest = rows.mapInArrow(run, "shard int, file int, uri string, n_docs long, n_ids long")
+    manifest = rows.mapInArrow(tidy(run), "shard int, file int, uri string, n_docs long, n_ids long")
     return stored(spark, manifest, "token-manifest")
 
 
@@ -281,7 +285,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 if docs:
                     yield _rows(docs, starts, ids)
 
-    return placed.mapInArrow(run, "doc_id long, start long, ids binary")
+    return placed.mapInArrow(tidy(run), "doc_id long, start long, ids binary")
 
 
 def _rows(docs: list, starts: list, ids: list[bytes]) -> pa.RecordBatch:

@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.chunks import PieceCache
+from quire.llm.shared import tidy
 from quire.llm.textcore import binary_rows
 
 #: Bytes of a half that is remembered, at most, and halves, pairs and windows remembered at once.
-_SHORT_PART, _MEMORY = 10, 200_000
+_SHORT_PART, _MEMORY = 10, 100_000
 #: Ids that a leaf of the decoding tree turns into bytes at once.
 _LEAF_IDS = 1 << 16
-_TASK_BYTES = 2 << 20
+_TASK_BYTES = 1 << 20
 
 
 class TreeBpe:
@@ -46,13 +47,19 @@ class TreeBpe:
         #: By the two tokens (their ids in one number): what their bytes merge to.
         self.pairs: dict[int, list[int]] = {}
         self.parts: dict[bytes, list[int]] = {}
-        self.cache = PieceCache(self._pieces)
+        self.cache = PieceCache(self._pieces, bits=20)
         order = np.array(sorted(self.token), np.int64)
         size = np.zeros(int(order[-1]) + 1 if len(order) else 0, np.int64)
         size[order] = [len(self.token[i]) for i in order.tolist()]
         self.size, self.at = size, np.cumsum(size) - size
         self.flat = np.frombuffer(b"".join(self.token[i] for i in order.tolist()), np.uint8)
 
+    def forget(self) -> None:
+        """Gives up what is remembered."""
+        self.cache.forget()
+        self.pairs.clear()
+        self.parts.clear()
+
     @classmethod
     def load(cls, path: str, pattern: str) -> TreeBpe:
         with open(path, "rb") as f:
@@ -195,8 +202,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id
                 values = pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)])
                 ends = pa.array(np.r_[0, np.cumsum(count)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(ends, values)], ["doc_id", "ids"])
+        bpe.forget()
 
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(tidy(run), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids array<int>")
 
 
 def decode(coded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -215,4 +223,4 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
                 raw, sizes = bpe.decode_rows(values, np.where(there, np.diff(ends), 0))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), binary_rows(np.frombuffer(raw, np.uint8), sizes)], ["doc_id", "ids", "decoded"])
 
-    return coded.select("doc_id", "ids").mapInArrow(run, f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+    return coded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {coded.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")

@@ -96,19 +96,44 @@ def spans(data: np.ndarray, lo: int, hi: int, most: int) -> Iterator[tuple[int,
 class PieceCache:
     """Encodes texts to ids. encode_all turns distinct pieces into their ids in a row and their numbers of ids.
 
-    bits: the table has 2**bits places; when 0.6 of them are taken it is emptied, which costs time only.
+    bits: the table has up to 2**bits places; when 0.6 of them are taken it is emptied, which costs time only.
     """
 
     def __init__(self, encode_all: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 21):
-        self.encode_all, self.bits, self.places = encode_all, bits, 1 << bits
-        self._clear()
+        self.encode_all, self.most = encode_all, bits
+        self.forget()
 
-    def _clear(self) -> None:
-        self.taken, self.used = 0, 0
+    def forget(self) -> None:
+        """Empties the memory and gives it up."""
+        self.taken, self.used, self.ids = 0, 0, np.zeros(1 << 12, np.uint32)
+        self._table(min(12, self.most))
+
+    def _table(self, bits: int) -> None:
+        self.bits, self.places = bits, 1 << bits
         # The second key has the length in its highest byte, so 0 is an empty place.
         self.key0, self.key1 = np.zeros(self.places, np.uint64), np.zeros(self.places, np.uint64)
         self.first, self.count, self.owner = np.zeros(self.places, np.int32), np.zeros(self.places, np.int32), np.zeros(self.places, np.int32)
-        self.ids = np.zeros(1 << 16, np.uint32)
+
+    def _for(self, n: int) -> bool:
+        """Makes room for n more pieces; False if that emptied the memory."""
+        if self.taken + n <= 0.6 * self.places:
+            return True
+        bits, known = self.bits, self.taken + n <= 0.6 * (1 << self.most)
+        want = self.taken + n if known else n
+        while want > 0.6 * (1 << bits) and bits < self.most:
+            bits += 1
+        if known:
+            at = np.flatnonzero(self.key1)
+            old = self.key0[at], self.key1[at], self.first[at], self.count[at]
+            self._table(bits)
+            self.taken = 0
+            self._put(*old)
+            return True
+        while n > 0.6 * (1 << bits):  # one slice has more than the memory may hold: for it alone
+            bits += 1
+        self.taken, self.used, self.ids = 0, 0, np.zeros(1 << 16, np.uint32)
+        self._table(bits)
+        return False
 
     def _room(self, n: int) -> None:
         if self.used + n > len(self.ids):
@@ -179,10 +204,7 @@ class PieceCache:
             _, one, of = np.unique((a[new] * _A) ^ (b[new] * _B), return_index=True, return_inverse=True)
             if (a[new][one][of] != a[new]).any() or (b[new][one][of] != b[new]).any():
                 _, one = np.unique(np.column_stack([a[new], b[new]]), axis=0, return_index=True)
-            if self.taken + len(one) > 0.6 * self.places:
-                self._clear()
-                if len(one) > 0.3 * self.places:
-                    self._grow(len(one))
+            if not self._for(len(one)):
                 return self.encode(data, bounds)
             one = new[one]
             ids, first, count = self._encoded(raw, own[one], own_sizes[one])
@@ -210,12 +232,6 @@ class PieceCache:
         upto = np.r_[0, ends][np.searchsorted(starts, bounds)]
         return self.ids[at], np.diff(upto)
 
-    def _grow(self, n: int) -> None:
-        """A table in which one slice's new pieces have room."""
-        while n > 0.3 * self.places:
-            self.bits, self.places = self.bits + 1, self.places * 2
-        self._clear()
-
     def encode_column(self, column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(lo, hi, ids, counts) of slices of a string column's rows; a row of more than most bytes is encoded in spans."""
         data, bounds = utf8(column)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import BROADCAST_ROWS, Forest, components, links_batch, put_file, shared_dir, stored, ties_of_repeated
+from quire.llm.shared import BROADCAST_ROWS, Forest, components, links_batch, put_file, shared_dir, stored, tidy, ties_of_repeated
 
 WINDOW = 512
 BITS = 62
@@ -108,7 +108,7 @@ def units(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dims, pa.int32()), pa.array(keys, pa.int64()), pa.array(raw, pa.binary())], ["id", "dim", "key", "v"])
 
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.when(F.col(vec_id).isNotNull(), F.col(embedding).cast(to)).alias("v"))
-    return rows.mapInArrow(run, "id long, dim int, key long, v binary")
+    return rows.mapInArrow(tidy(run), "id long, dim int, key long, v binary")
 
 
 def _keys(classes: DataFrame, passes: range) -> DataFrame:
@@ -123,7 +123,7 @@ def _keys(classes: DataFrame, passes: range) -> DataFrame:
                 for p in passes:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), p, np.int32)), part.column(1), pa.array(sort_keys(x, p)), part.column(0), part.column(2)], ["pass", "dim", "key", "id", "v"])
 
-    return classes.select("id", "dim", "v").mapInArrow(run, "pass int, dim int, key long, id long, v binary")
+    return classes.select("id", "dim", "v").mapInArrow(tidy(run), "pass int, dim int, key long, id long, v binary")
 
 
 def _shared_signs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -206,7 +206,7 @@ def _windows(keyed: DataFrame, least: float, window: int, depth: int) -> DataFra
         yield from close(False)
 
     placed = keyed.repartitionByRange("pass", "dim", "key", "id").sortWithinPartitions("pass", "dim", "key", "id")
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(tidy(run), "a long, b long")
 
 
 class Block(NamedTuple):
@@ -259,7 +259,7 @@ def _put_blocks(spark: SparkSession, rows: DataFrame, block_bytes: int) -> list[
     order = ["dim", "component", "key", "at"]
     placed = rows.select(*order, "id", "weight", F.col("core").cast("int").alias("core"), "v").repartitionByRange(max(1, math.ceil(total / block_bytes)), *order).sortWithinPartitions(*order)
     placed = placed.select("dim", "component", "id", "at", "weight", "core", "v")
-    listed = stored(spark, placed.mapInArrow(run, "dim int, n long, uri string, low long, high long, centre array<double>, radius double"), "block-list")
+    listed = stored(spark, placed.mapInArrow(tidy(run), "dim int, n long, uri string, low long, high long, centre array<double>, radius double"), "block-list")
     return sorted(Block(*r[:5], tuple(r[5]), r[6]) for r in listed.collect())
 
 
@@ -322,7 +322,7 @@ def _missed(spark: SparkSession, blocks: list[Block], least: float) -> DataFrame
                 if forest.links:
                     yield links_batch(forest.links)
 
-    return _each_block(spark, len(known.value[1])).mapInArrow(run, "a long, b long")
+    return _each_block(spark, len(known.value[1])).mapInArrow(tidy(run), "a long, b long")
 
 
 def _open_counts(spark: SparkSession, blocks: list[Block], least: float) -> DataFrame:
@@ -359,7 +359,7 @@ def _open_counts(spark: SparkSession, blocks: list[Block], least: float) -> Data
                         count -= np.where(core, 0, weights)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count)], ["at", "n"])
 
-    return _each_block(spark, len(known.value[1])).mapInArrow(run, "at long, n long")
+    return _each_block(spark, len(known.value[1])).mapInArrow(tidy(run), "at long, n long")
 
 
 def _with_mean(placed: DataFrame, mean: DataFrame) -> DataFrame:
@@ -388,7 +388,7 @@ def _counts(spark: SparkSession, classes: DataFrame, parts: DataFrame, least: fl
             c, d, v, n = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(d, pa.int32()), pa.array(v, pa.list_(pa.float64())), pa.array(n, pa.int64())], ["component", "dim", "total", "n"])
 
-    partial = stored(spark, placed.mapInArrow(sums, "component long, dim int, total array<double>, n long"), "sums")
+    partial = stored(spark, placed.mapInArrow(tidy(sums), "component long, dim int, total array<double>, n long"), "sums")
     size = partial.groupBy("component", "dim").agg(F.sum("n").alias("size"))
     mean = partial.select("component", "dim", F.posexplode("total")).groupBy("component", "dim", "pos").agg(F.sum("col").alias("x"))
     mean = mean.groupBy("component", "dim").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("mean"))
@@ -405,7 +405,7 @@ def _counts(spark: SparkSession, classes: DataFrame, parts: DataFrame, least: fl
             yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(inside)], ["component", "dim", "key", "id", "at", "weight", "v", "core"])
 
     marked = _with_mean(placed, mean).select("component", "dim", "key", "id", "at", "weight", "v", "mean")
-    marked = stored(spark, marked.mapInArrow(core, "component long, dim int, key long, id long, at long, weight long, v binary, core boolean"), "marked")
+    marked = stored(spark, marked.mapInArrow(tidy(core), "component long, dim int, key long, id long, at long, weight long, v binary, core boolean"), "marked")
     shape = marked.groupBy("component", "dim").agg(F.sum(F.when(F.col("core"), F.col("weight"))).alias("all"), F.count_if(~F.col("core")).alias("others"))
     shape = stored(spark, shape, "shape")
     inner = marked.where("core").join(shape, ["component", "dim"]).select("at", (F.col("all") - F.col("weight")).alias("n"))

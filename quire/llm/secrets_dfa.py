@@ -5,8 +5,9 @@ minimised by partition refinement and laid out as transition arrays. A text's by
 match ends, and the rule's reversed automaton finds its leftmost start not before the rule's last match.
 
 A rule must keep accepting from its first acceptance to its match's end; compiling checks that. Matches are leftmost, longest and
-non-overlapping for each rule. Defined results: null and empty texts have no spans; an empty table gives an empty table; repeated
-rows each give a row; positions are code points, ends exclusive.
+non-overlapping for each rule. Defined results: null and empty texts have no spans; very long texts pass whole; spans that begin
+together are ordered as the rules are listed; an empty table gives an empty table; repeated rows each give a row; scan() drops extra
+columns and redact() keeps them, whatever their names; positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.shared import tidy
 from quire.llm.textcore import slices, utf8
 
 
@@ -332,7 +334,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tup
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_column_spans(scanner, part.column(1)), type=_SPAN_TYPE)], ["doc_id", "spans"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, spans {SPANS}")
+    return rows.mapInArrow(tidy(run), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, spans {SPANS}")
 
 
 def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -357,4 +359,4 @@ def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
                 new = pa.array(list(map(clean, column.to_pylist(), _column_spans(scanner, column))), type=column.type)
                 yield pa.RecordBatch.from_arrays([new if i == at else part.column(i) for i in range(part.num_columns)], schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

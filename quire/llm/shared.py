@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,37 +13,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a broadcast table at most; beyond it, joins are left to the optimiser.
+from quire.sources.sinks import put_file  # noqa: F401  (the operators take it from here)
+
+#: Rows that a table with a broadcast hint has at most.
 BROADCAST_ROWS = 20_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI below spark.checkpoint.dir. Only where that is unset (tests), a local temporary folder is used."""
+    """A new folder's URI below spark.checkpoint.dir; a folder without a scheme is one of the default file system.
+
+    Only a local session, as in tests, may leave that unset: it gets a temporary folder. On a cluster that raises ValueError.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="quire-")
     if "://" not in base:
-        base = ("file://" if base.startswith("/") else "file:///") + base
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        base = "file://" + base.removeprefix("file:") if base.startswith("file:/") and not base.startswith("file://") else base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet to the shared folder and read again: its lineage ends here and survives lost executors."""
+def _written(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read again: its lineage ends here and survives lost executors."""
+    return _written(spark, df, name)[0]
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table that another one has replaced."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+Batches = Iterator[pa.RecordBatch]
+
 
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run for mapInArrow; when a task ends, what it freed goes back to the system, as its worker waits for other operators' tasks."""
 
-def put_file(uri: str, data: bytes) -> None:
-    """Writes a file in one step: under a name of its own first, then renamed, so that a lost or repeated task leaves no half file."""
-    from pyarrow import fs
+    def tidied(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
 
-    store, path = fs.FileSystem.from_uri(uri)
-    store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    temporary = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.tmp"
-    with store.open_output_stream(temporary, compression=None) as out:
-        out.write(data)
-    store.move(temporary, path)
+    return tidied
 
 
 class Forest:
@@ -95,7 +121,7 @@ def grouped(keys: int, of_group: Callable[[list[pa.RecordBatch]], pa.RecordBatch
         if held and (found := of_group(held)) is not None:
             yield found
 
-    return run
+    return tidy(run)
 
 
 def components(spark: SparkSession, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -105,7 +131,7 @@ def components(spark: SparkSession, edges: DataFrame, most_rounds: int = 60) ->
     large partitions the optimiser may split, so a hub of many edges does not meet in one task. Every round is written to
     the shared folder. Self links are dropped; an empty edge table gives an empty result.
     """
-    cur = stored(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), "edges")
+    cur, path = _written(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), "edges")
     mark = _mark(cur)
     for _ in range(most_rounds):
         if mark[0] == 0:
@@ -116,7 +142,8 @@ def components(spark: SparkSession, edges: DataFrame, most_rounds: int = 60) ->
         low = large.groupBy("v").agg(F.min("m").alias("low"))
         joined = large.join(low, "v")
         small = joined.where("m <> low").select(F.col("m").alias("v"), F.col("low").alias("m")).unionAll(low.select("v", F.col("low").alias("m")))
-        cur = stored(spark, small.distinct(), "edges")
+        old, (cur, path) = path, _written(spark, small.distinct(), "edges")
+        _removed(spark, old)
         now = _mark(cur)
         if now == mark:
             break

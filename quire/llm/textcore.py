@@ -66,13 +66,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), bounds
 
 
-def slices(bounds: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about most bytes; at least one row each, and no row twice."""
+def slices(bounds: np.ndarray, most: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
+    """Row ranges of about most bytes and at most so many rows; at least one row each, and no row twice."""
     lo, n = 0, len(bounds) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, side="right")) - 1)
-        yield lo, min(hi, n)
-        lo = min(hi, n)
+        hi = min(max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, side="right")) - 1), lo + rows, n)
+        yield lo, hi
+        lo = hi
 
 
 def words(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
