@@ -6,8 +6,10 @@ punctuation and obfuscation rates. Trees are fitted by histogram boosting of the
 their values by isotonic regression.
 
 The model is fitted on at most SAMPLE labelled texts (those of the smallest hashes of their ids; a documented bound); every text is
-scored. Defined results: null, empty and symbol-only texts are scored like any other, with zero densities; without labels of both
-classes every score is the share of toxic labels (0 without any); repeated rows each give a row; null labels are not used.
+scored whole, however long. Defined results: null, empty and symbol-only texts are scored like any other, with zero densities; without
+labels of both classes every score is the share of toxic labels (0 without any); equal texts have equal scores, and a tie at the
+threshold counts as toxic; repeated rows each give a row; null labels are not used, and a label of a repeated id counts for each of its
+texts; score() drops extra columns and clean() keeps them, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import stored
+from quire.llm.shared import BROADCAST_ROWS, stored, tidy
 from quire.llm.textcore import ALNUM_TABLE, distinct, powers, slices, utf8, words
 
 #: Labelled texts that the model is fitted on, at most.
 SAMPLE = 12_000
-#: Word beginnings that are counted on the sample, and entries of the learned lexicon, at most.
-CANDIDATES, LEXICON = 60_000, 600
+#: A word beginning is learned if so many, and this share, of the sample's toxic texts have it, if it is exp(LIFT) times as frequent among
+#: them as among clean ones, and if the logarithm of that ratio times the square root of its texts is at least CLEAR. All such are.
+LEAST_TEXTS, LEAST_SHARE, LIFT, CLEAR = 4, 0.01, 2.5, 6.0
 STEMS = (3, 4, 5, 6, 7, 8)
 
 #: Common insults, and second-person words of the languages met most.
@@ -235,7 +238,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
     """A model of the labelled rows of labels (doc_id, label); leave out held-out rows before."""
     picked = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y"))
     picked = stored(spark, picked.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample), "label-sample")
-    joined = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id")  # at most sample rows of 12 bytes
+    joined = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked) if sample <= BROADCAST_ROWS else picked, "_id")
     rows = stored(spark, joined.select("_y", "_text", F.xxhash64("_id").alias("_h")), "label-texts").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2))
 
     def toxic_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,8 +250,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
                 values, counts = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["stem", "n"])
 
-    counts = rows.where("_y = 1").select("_y", "_text").mapInArrow(toxic_stems, "stem long, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-    candidates = counts.where("n >= 4").orderBy(F.desc("n"), "stem").limit(CANDIDATES).select("stem").toPandas()["stem"].to_numpy()
+    counts = rows.where("_y = 1").select("_y", "_text").mapInArrow(tidy(toxic_stems), "stem long, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+    toxic = rows.where("_y = 1").count()
+    candidates = counts.where(F.col("n") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)).select("stem").toPandas()["stem"].to_numpy()
     candidates = np.sort(candidates.astype(np.int64).view(np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,14 +269,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
         there = np.flatnonzero(n.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[0, there]), pa.array(n[1, there])], ["at", "n0", "n1"])
 
-    table = rows.select("_y", "_text").mapInArrow(count, "at long, n0 long, n1 long").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    table = rows.select("_y", "_text").mapInArrow(tidy(count), "at long, n0 long, n1 long").groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
     n0, n1 = np.zeros(len(candidates) + 1), np.zeros(len(candidates) + 1)
     n0[table["at"]], n1[table["at"]] = table["n0"], table["n1"]
     all0, all1 = n0[-1], n1[-1]
     lift = np.log(((n1[:-1] + 0.5) / (all1 + 1)) / ((n0[:-1] + 0.5) / (all0 + 1)))
-    good = np.flatnonzero((lift > 2.5) & (n1[:-1] >= 4))
-    good = good[np.argsort(-(lift * np.sqrt(n1[:-1]))[good], kind="stable")][:LEXICON]
-    good.sort()
+    good = np.flatnonzero((lift > LIFT) & (n1[:-1] >= LEAST_TEXTS) & (lift * np.sqrt(n1[:-1]) >= CLEAR))
     features = Features(candidates[good], lift[good])
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +282,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
             x = features.of(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["h", "y", "x"])
 
-    fitted = rows.select("_y", "_text", "_h").mapInArrow(dense, "h long, y int, x array<double>").toPandas().sort_values("h", kind="stable")
+    fitted = rows.select("_y", "_text", "_h").mapInArrow(tidy(dense), "h long, y int, x array<double>").toPandas().sort_values("h", kind="stable")
     share = all1 / (all0 + all1) if all0 + all1 else 0.0
     return Model(features, float(share)).fit(np.array(fitted["x"].tolist()).reshape(-1, len(FEATURES)), fitted["y"].to_numpy())
 
@@ -301,7 +303,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(batch.column(1)))], ["doc_id", "score"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, score double")
+    return rows.mapInArrow(tidy(run), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, score double")
 
 
 def clean(docs: DataFrame, model: Model, text: str = "text", most: float = 0.5) -> DataFrame:
@@ -312,4 +314,4 @@ def clean(docs: DataFrame, model: Model, text: str = "text", most: float = 0.5)
         for batch in batches:
             yield batch.filter(pa.array(model.score(batch.column(at)) < most))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
