@@ -4,9 +4,12 @@ A text's profile is its hashed byte trigrams and short word beginnings, letters
 support vector machines first choose the language family (one against the rest); within it, one-versus-one machines separate the
 languages, and most votes win, margins breaking ties.
 
-The machines are fitted on at most SAMPLE texts a language (by a hash of the id; a documented bound). Every text is read whole.
-Defined results: a text that is null or has no letter is `und` with score 0; with a single learned language that one is predicted;
-with none every text is `und`; repeated rows each give a row.
+The machines are fitted on at most SAMPLE texts a language and SAMPLE_ROWS in all (those of the smallest hashes of their ids; documented
+bounds). Every text is predicted and read whole, however long.
+Defined results: a text that is null, empty or has no letter is `und` with score 0; with a single learned language that one is
+predicted; with none, as from an empty table, every text is `und`; rows without a language are not learned from; of languages with
+equal votes the one with the greater margin wins, then the first by code; repeated rows each give a row; extra columns are dropped,
+whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.shared import stored
+from quire.llm.shared import stored, tidy
 from quire.llm.textcore import ALNUM_TABLE, fmix, slices, utf8, words
 
 SIZE = 2048
-SAMPLE = 800
+#: Texts that machines are fitted on, at most: of a language, and in all (each is SIZE numbers on the driver).
+SAMPLE, SAMPLE_ROWS = 800, 16_000
 
 #: Families of language codes. Others make a family of their own.
 FAMILIES = {
@@ -53,7 +57,7 @@ def family_of(lang: str) -> str:
 def profiles(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
     """Slices of a text column with the texts' profiles."""
     data, bounds = utf8(column)
-    for lo, hi in slices(bounds):
+    for lo, hi in slices(bounds, rows=512):
         n, base = hi - lo, int(bounds[lo])
         c = _LETTER[data[base : bounds[hi]]].astype(np.uint64)
         out = np.zeros(n * SIZE)
@@ -138,16 +142,19 @@ def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     counts = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().collect()}  # one row a language
     if not counts:
         return None
+    sample = max(1, min(sample, SAMPLE_ROWS // len(counts)))
     place = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(1_000_000))
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1_000_000, int(1_000_000 * sample / n) + 1)))])
-    rows = stored(spark, known.where(place < share[F.col("_lang")]).select("_lang", "_text", place.alias("_h")), "language-texts")
+    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1_000_000, int(1_500_000 * sample / n) + 1)))])
+    some = known.where(place < share[F.col("_lang")]).select("_lang", "_text", place.alias("_h"))
+    first = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_text"))  # of about half more than the sample
+    rows = stored(spark, some.withColumn("_n", first).where(F.col("_n") <= sample).drop("_n"), "language-texts")
 
     def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, x in profiles(batch.column(1)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x], pa.binary()), batch.column(2).slice(lo, hi - lo)], ["lang", "x", "h"])
 
-    got = rows.mapInArrow(dense, "lang string, x binary, h long").toPandas().sort_values(["lang", "h"], kind="stable")
+    got = rows.mapInArrow(tidy(dense), "lang string, x binary, h long").toPandas().sort_values(["lang", "h"], kind="stable")
     if got.empty:
         return None
     return Hierarchy(np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), SIZE), got["lang"].to_numpy())
@@ -172,4 +179,4 @@ def predict(docs: DataFrame, model: Hierarchy | None, doc_id: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(tidy(run), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, lang_pred string, score double")
