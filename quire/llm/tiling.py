@@ -5,9 +5,15 @@ pair is tiled: Running Karp-Rabin hashes of shrinking lengths find the longest c
 marked first, and no word is marked twice. Tiles may lie in any order, so reordered passages count. An item leaks into a text if the
 tiles cover the given share of the item's words.
 
+Seeds that many items have need not pair: as many of an item's commonest seeds as cannot cover the share by themselves are left out, for
+a text with no other seed of the item cannot reach it. A pair whose common seeds together cover less than the share is not tiled.
+Neither loses a leak.
+
 The benchmark is the query set: it is read in blocks of bounded size, each of which passes over all texts, so nothing that grows
-with the texts is broadcast. Defined results: items of fewer than five words never leak; null and empty texts hold no leak; repeated
-rows each give their rows; an empty benchmark or table gives an empty result.
+with the texts is broadcast; the results of each block are stored before the next. Defined results: items of fewer than five words
+never leak; null and empty texts hold no leak; very long texts are tiled whole; of runs of equal length the one first in the text, then
+in the item, is marked first; repeated rows, and items that repeat an id, each give their rows; contaminated() drops extra columns and
+clean() keeps them, whatever their names; an empty benchmark or table gives an empty result, or all rows.
 """
 
 from __future__ import annotations
@@ -16,9 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.shared import stored, tidy
 from quire.llm.textcore import ALNUM_TABLE, powers, shingles, slices, utf8, words
 
 LEAST = 5
@@ -78,12 +86,17 @@ def tile(text: np.ndarray, item: np.ndarray, least: int = LEAST) -> list[tuple[i
         length = max(least, length // 2)
 
 
+def _all_of(free: np.ndarray, n: int) -> np.ndarray:
+    """For each run of n places whether all of them are free."""
+    total = np.r_[0, np.cumsum(free)]
+    return total[n:] - total[:-n] == n
+
+
 def _matches(text: np.ndarray, item: np.ndarray, free_t: np.ndarray, free_i: np.ndarray, n: int) -> tuple[list[tuple[int, int, int]], int]:
     """Maximal common runs of at least n free words, and the longest; runs are cut off where that exceeds 2 n."""
     if len(text) < n or len(item) < n:
         return [], 0
-    usable = lambda free: np.convolve(free, np.ones(n, np.int32), "valid") == n
-    in_item, in_text = np.flatnonzero(usable(free_i)), np.flatnonzero(usable(free_t))
+    in_item, in_text = np.flatnonzero(_all_of(free_i, n)), np.flatnonzero(_all_of(free_t, n))
     places: dict[int, list[int]] = {}
     hashes = _run_hashes(item, n)
     for i in in_item.tolist():
@@ -109,31 +122,73 @@ class Benchmark:
 
     def __init__(self, ids: list[int], texts: list[str], coverage: float = COVERAGE, least: int = LEAST):
         self.coverage, self.least, self.ids = coverage, least, ids
-        data, bounds = utf8(pa.array(texts, pa.string()))
+        data, bounds = utf8(pc.utf8_lower(pa.array(texts, pa.string())))
         _, owner, hashes = words(data, bounds, ALNUM_TABLE)
-        self.items = [hashes[owner == i] for i in range(len(ids))]
-        h, o = shingles(owner, hashes, least)
-        whole = np.array([len(x) >= least for x in self.items], bool)
-        h, o = h[whole[o]], o[whole[o]]
+        edges = np.searchsorted(owner, np.arange(len(ids) + 1))
+        self.items = [hashes[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        h, o = self._seeds(owner, hashes)
+        edges = np.searchsorted(o, np.arange(len(ids) + 1))
+        self.own = [h[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        one = np.unique(np.column_stack([h, o.astype(np.uint64)]), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
+        values, count = np.unique(one[:, 0], return_counts=True)
+        probe = np.ones(len(h), bool)
+        for k in range(len(ids)):
+            a, b = int(edges[k]), int(edges[k + 1])
+            often = count[np.searchsorted(values, h[a:b])]
+            probe[a:b] = self._needed(often, len(self.items[k]))
+        h, o = h[probe], o[probe]
         order = np.lexsort((o, h))
         self.seeds, self.owners = h[order], o[order]
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.seeds & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
+    def _seeds(self, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Seeds and their texts in order; texts of fewer words have none."""
+        h, o = shingles(owner, hashes, self.least)
+        n = max(0, len(hashes) - self.least + 1)
+        whole = int((owner[:n] == owner[self.least - 1 :]).sum()) if n else 0
+        return h[:whole], o[:whole]
+
+    def _needed(self, often: np.ndarray, words_: int) -> np.ndarray:
+        """Which seeds of an item must be looked for: all but the commonest ones that cannot cover the share by themselves."""
+        out = np.ones(len(often), bool)
+        covered, reach = np.zeros(words_, bool), 0
+        for at in np.argsort(-often, kind="stable").tolist():
+            if often[at] < 2:
+                break
+            reach += int((~covered[at : at + self.least]).sum())
+            covered[at : at + self.least] = True
+            if reach >= self.coverage * words_:
+                break
+            out[at] = False
+        return out
+
+    def _reach(self, own: np.ndarray, there: np.ndarray, words_: int) -> int:
+        """Words of an item that its seeds in a text cover: the tiles cover no more."""
+        step = np.zeros(words_ + 1, np.int64)
+        at = np.flatnonzero(np.isin(own, there))
+        np.add.at(step, at, 1)
+        np.add.at(step, at + self.least, -1)
+        return int((np.cumsum(step)[:words_] > 0).sum())
+
     def leaks(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item's number, item's words, covered words, tiles) of each leak into a text column."""
-        data, bounds = utf8(column)
+        data, bounds = utf8(pc.utf8_lower(column))
         for lo, hi in slices(bounds):
             _, owner, hashes = words(data, bounds[lo : hi + 1], ALNUM_TABLE)
-            h, o = shingles(owner, hashes, self.least)
+            h, o = self._seeds(owner, hashes)
             near = np.flatnonzero(self.bits[(h & np.uint64(0xFFFFF)).astype(np.int64)])
             first, last = np.searchsorted(self.seeds, h[near], "left"), np.searchsorted(self.seeds, h[near], "right")
             pairs = {(int(o[near[x]]), int(k)) for x in np.flatnonzero(last > first) for k in self.owners[first[x] : last[x]]}
             for row, k in sorted(pairs):
+                need = self.coverage * len(self.items[k])
+                a, b = np.searchsorted(o, [row, row + 1])
+                if self._reach(self.own[k], h[a:b], len(self.items[k])) < need:
+                    continue
                 a, b = np.searchsorted(owner, [row, row + 1])
                 tiles = tile(hashes[a:b], self.items[k], self.least)
                 covered = sum(n for _, _, n in tiles)
-                if covered >= self.coverage * len(self.items[k]):
+                if covered >= need:
                     yield lo + row, k, len(self.items[k]), covered, len(tiles)
 
 
@@ -166,14 +221,15 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc
                         ["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage"],
                     )
 
-        out = out.unionAll(rows.mapInArrow(run, schema))
+        out = out.unionAll(stored(spark, rows.mapInArrow(tidy(run), schema), "leaks"))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """The rows of docs that hold no leak, with all their columns."""
     at = docs.columns.index(text)
-    for block in blocks(benchmark, coverage=coverage):
+    for i, block in enumerate(blocks(benchmark, coverage=coverage)):
+        docs = stored(docs.sparkSession, docs, "unleaked") if i else docs
 
         def run(batches: Iterator[pa.RecordBatch], block: Benchmark = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -181,5 +237,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", coverage: f
                 keep[[x[0] for x in block.leaks(batch.column(at))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs
