@@ -9,14 +9,16 @@ Reading: unsegmented records are decoded where they are read. Segments are group
 and checked: the numbers run from 1, the total length holds. Then the chunked framing is decoded and the payload's digest is checked.
 A revisit's length comes from the response that it refers to. Whatever does not hold raises ValueError.
 
-Defined results: null payloads count as empty; a null url has a placeholder; null page ids and rows that repeat the largest id are
-responses of their own; an empty table gives no archive and no rows.
+Defined results: null payloads count as empty; a null url has a placeholder; null page ids and rows that repeat the largest id (a tie)
+are responses of their own; very long payloads are held whole by one task each; extra columns are dropped, whatever their names; an
+empty table gives no archive and no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import put_file, shared_dir, stored
+from quire.llm.shared import put_file, shared_dir, stored, tidy
 
 SEGMENT = 64 << 10
 CHUNK = 8 << 10
@@ -142,7 +144,7 @@ def write(spark: SparkSession, pages: DataFrame, least: int = 0, segment: int =
 
         def close() -> pa.RecordBatch:
             nonlocal number, held, size, count
-            uri = f"{folder}/{shard:06d}-{number:06d}.warc.gz"
+            uri = f"{folder}/{shard:06d}-{number:06d}-{uuid.uuid4().hex}.warc.gz"
             put_file(uri, b"".join(held))
             done = pa.RecordBatch.from_pydict({"uri": [uri], "n_records": pa.array([count], pa.int64())})
             number, held, size, count = number + 1, [], 0, 0
@@ -160,7 +162,7 @@ def write(spark: SparkSession, pages: DataFrame, least: int = 0, segment: int =
         if held:
             yield close()
 
-    return stored(spark, placed.mapInArrow(run, "uri string, n_records long"), "warc-manifest")
+    return stored(spark, placed.mapInArrow(tidy(run), "uri string, n_records long"), "warc-manifest")
 
 
 _PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -175,13 +177,13 @@ def _archives(batch: pa.RecordBatch) -> Iterator[tuple[dict[str, str], bytes]]:
             yield from parse(f.read())
 
 
-def _pages(rows: list[tuple], with_payload: bool) -> pa.RecordBatch:
-    page, size, sha, kind, refers, payload = (list(c) for c in zip(*rows, strict=True))
-    payload = payload if with_payload else [None] * len(page)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(page, pa.int64()), pa.array(size, pa.int64()), pa.array(sha, pa.string()), pa.array(kind, pa.string()), pa.array(refers, pa.int64()), pa.array(payload, pa.binary())],
-        ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
-    )
+_COLUMNS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
+_TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int64())
+
+
+def _pages(rows: list[tuple]) -> pa.RecordBatch:
+    """Pages, or segments: their block as the payload, with origin, number and total length."""
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], [*_COLUMNS, "origin", "number", "total"])
 
 
 def _int(value: str | None) -> int | None:
@@ -191,40 +193,30 @@ def _int(value: str | None) -> int | None:
 def read(spark: SparkSession, manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to, payload) of each page in the manifest's archives.
 
-    payload is null for revisits, and for all if payloads is false (it is decoded and checked all the same).
+    The archives are read once. payload is null for revisits, and for all if payloads is false (it is decoded and checked all the same).
     """
     files = manifest.select("uri").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def one_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pages that are one record, and the segments of the others."""
         rows, size = [], 0
         for batch in batches:
             for h, block in _archives(batch):
+                page, sha = _int(h.get("x-page-id")), h.get("warc-payload-digest")
                 if "warc-segment-number" in h:
-                    continue
-                page, sha = _int(h.get("x-page-id")), h["warc-payload-digest"]
-                if h["warc-type"] == "revisit":
-                    rows.append((page, None, sha[5:], "revisit", int(h["warc-refers-to"][10:-1]), None))
+                    origin = h["warc-record-id"] if h["warc-type"] != "continuation" else h["warc-segment-origin-id"]
+                    rows.append((page, None, sha, None, None, block, origin, int(h["warc-segment-number"]), _int(h.get("warc-segment-total-length"))))
+                elif h["warc-type"] == "revisit":
+                    rows.append((page, None, sha[5:], "revisit", int(h["warc-refers-to"][10:-1]), None, None, None, None))
                 else:
                     payload = payload_of(block, sha)
-                    rows.append((page, len(payload), sha[5:], "response", None, payload))
-                    size += len(payload)
+                    rows.append((page, len(payload), sha[5:], "response", None, payload if payloads else None, None, None, None))
+                size += len(block)
                 if size > 4 << 20 or len(rows) >= 2000:
-                    yield _pages(rows, payloads)
+                    yield _pages(rows)
                     rows, size = [], 0
         if rows:
-            yield _pages(rows, payloads)
-
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for h, block in _archives(batch):
-                if "warc-segment-number" in h:
-                    first = h["warc-type"] != "continuation"
-                    row = {
-                        "origin": [h["warc-record-id"] if first else h["warc-segment-origin-id"]], "number": pa.array([int(h["warc-segment-number"])], pa.int32()),
-                        "total": pa.array([_int(h.get("warc-segment-total-length"))], pa.int64()), "page_id": pa.array([_int(h.get("x-page-id"))], pa.int64()),
-                        "sha": pa.array([h.get("warc-payload-digest")], pa.string()), "block": pa.array([block], pa.binary()),
-                    }
-                    yield pa.RecordBatch.from_pydict(row)
+            yield _pages(rows)
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,11 +227,14 @@ def read(spark: SparkSession, manifest: DataFrame, payloads: bool = True) -> Dat
                 if segments[-1]["total"] != len(block):
                     raise ValueError("a segmented record's total length does not hold")
                 payload = payload_of(block, segments[0]["sha"])
-                yield _pages([(segments[0]["page_id"], len(payload), segments[0]["sha"][5:], "response", None, payload)], payloads)
-
-    cut = files.mapInArrow(parts, "origin string, number int, total long, page_id long, sha string, block binary")
-    cut = cut.groupBy("origin").agg(F.sort_array(F.collect_list(F.struct("number", "total", "page_id", "sha", "block"))).alias("segments"))
-    return files.mapInArrow(whole, _PAGE).unionAll(cut.select("segments").mapInArrow(joined, _PAGE))
+                sha = segments[0]["sha"][5:]
+                yield _pages([(segments[0]["page_id"], len(payload), sha, "response", None, payload if payloads else None, None, None, None)]).select(_COLUMNS)
+
+    records = stored(spark, files.mapInArrow(tidy(one_pass), f"{_PAGE}, origin string, number int, total long"), "warc-records")
+    part = F.struct("number", "total", "page_id", F.col("payload_digest").alias("sha"), F.col("payload").alias("block"))
+    cut = records.where("origin is not null").groupBy("origin").agg(F.sort_array(F.collect_list(part)).alias("segments"))
+    pages = records.where("origin is null").select(_COLUMNS).unionAll(cut.select("segments").mapInArrow(tidy(joined), _PAGE))
+    return pages if payloads else stored(spark, pages, "warc-pages")
 
 
 def resolved(pages: DataFrame) -> DataFrame:
