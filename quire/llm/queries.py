@@ -114,9 +114,72 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """None of these can be told in SQL on whole tables but op8; the others are tested against brute force."""
-    return {"op8_warc_segments": OP8_SQL}
+    """Those that SQL can tell; the others are tested against libraries, plain Python and held-out rows (tests/llm/test_queries.py)."""
+    return {"op4_secret_automaton": OP4_SQL, "op6_sorted_projections": OP6_SQL, "op8_warc_segments": OP8_SQL, "op10_setsketch": OP10_SQL}
+
+
+#: Matches of each rule and what stands between them tell where they are; positions are code points.
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+rules(place, kind, pattern, least, value_least) AS (VALUES
+  (1, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=\-]+)', 0, 12),
+  (2, 'access', 'AKIA[A-Z0-9]+', 18, 0), (3, 'hex', '[0-9a-f]+', 16, 0), (4, 'github', 'gh[pousr]_[A-Za-z0-9]+', 40, 0),
+  (5, 'slack', 'xox[abprs]-[A-Za-z0-9\-]+', 15, 0), (6, 'pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 0), (7, 'google', 'AIza[A-Za-z0-9_\-]+', 39, 0)),
+found AS (
+  SELECT doc_id, place, kind, least, value_least, pattern, regexp_extract_all(t, pattern) AS m, string_split_regex(t, pattern) AS b
+  FROM d, rules WHERE regexp_matches(t, pattern)
+),
+placed AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found),
+spans AS (
+  SELECT doc_id, place, kind, m[i] AS x, least, value_least, pattern,
+    CAST(list_sum(list_transform(b[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda s: length(s))), 0) AS BIGINT) AS first
+  FROM placed
+),
+kept AS (
+  SELECT doc_id, place, kind, first, kind || ':' || first || ':' || (first + length(x)) AS said FROM spans
+  WHERE length(x) >= least AND (value_least = 0 OR length(regexp_extract(x, pattern, 2)) >= value_least)
+),
+told AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(said, ',' ORDER BY first, place) AS spans, string_agg(said, ',' ORDER BY first, place) FILTER (place <= 3) AS base
+  FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN told USING (doc_id)
+"""
 
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(low.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN low ON low.a = vec_id
+"""
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w
+),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+each AS (SELECT doc_id, unnest(s) AS s FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM each a JOIN each b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
+FROM n LEFT JOIN low ON a = doc_id
+"""
 
 OP8_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),

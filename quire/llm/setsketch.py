@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.shared import Forest, components, grouped, links_batch, stored, ties_of_repeated
+from quire.llm.shared import Forest, components, grouped, links_batch, stored, tidy, ties_of_repeated
 from quire.llm.textcore import SPACE_TABLE, binary_rows, distinct, fmix, sequence_keys, shingles, slices, utf8, words
 
 REGISTERS = 192
@@ -83,6 +83,24 @@ def likelihood(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, s
     return j[np.arange(len(j)), value.argmax(1)]
 
 
+def rises(more: np.ndarray, less: np.ndarray, same: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, at: float) -> np.ndarray:
+    """Whether the likelihood still rises at a similarity, which its maximum then is not below: it is concave in it.
+
+    more, less, same: registers that are greater, smaller and equal in a sketch of n_a against one of n_b elements.
+    """
+    u = n_a / (n_a + n_b)
+    v, c = 1 - u, (BASE - 1) / BASE
+
+    def slope(x: np.ndarray) -> np.ndarray:
+        """The slope of the logarithm of p at x > 0."""
+        return c / ((1 - c * x) * -np.log1p(-c * x))
+
+    up, down = np.maximum(u - v * at, 1e-12), np.maximum(v - u * at, 1e-12)
+    p = lambda x: -np.log1p(-c * x) / math.log(BASE)
+    gone = v * slope(up) * p(up) + u * slope(down) * p(down)
+    return same * gone / np.maximum(1 - p(up) - p(down), 1e-12) >= more * v * slope(up) + less * u * slope(down)
+
+
 def cut_of(threshold: float) -> float:
     return threshold - 4.5 * math.sqrt(threshold * (1 - threshold) / REGISTERS)
 
@@ -115,7 +133,7 @@ def sketches(docs: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles long, registers binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, k1 long, k2 long, n_shingles long, registers binary")
 
 
 def bands(classes: DataFrame, rows: int) -> DataFrame:
@@ -134,7 +152,7 @@ def bands(classes: DataFrame, rows: int) -> DataFrame:
                     ["bucket", "id", "n"],
                 )
 
-    return classes.select("id", "n", "registers").mapInArrow(run, "bucket long, id long, n long")
+    return classes.select("id", "n", "registers").mapInArrow(tidy(run), "bucket long, id long, n long")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -148,11 +166,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 part = batch.slice(lo, 2000)
                 a, b, na, nb, ra, rb = (part.column(i) for i in range(6))
                 ra, rb = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(len(part), REGISTERS) for x in (ra, rb))
-                keep = likelihood(ra, rb, na.to_numpy().astype(float), nb.to_numpy().astype(float)) >= cut
+                more, less = (ra > rb).sum(1), (ra < rb).sum(1)
+                keep = rises(more, less, REGISTERS - more - less, na.to_numpy().astype(float), nb.to_numpy().astype(float), cut)
                 yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep))
 
     joined = pairs.join(side("b"), "b").where(F.lit(True)).join(side("a"), "a").where(f"least(n_a, n_b) >= {threshold} * greatest(n_a, n_b)")
-    return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -162,7 +181,10 @@ def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
     most = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"))
     rest = F.col("component") != F.col("largest")
     place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    dealt = placed.select("bucket", "id", "component").join(most, "bucket")
+    # A bucket's size is with each of its members, so that large buckets meet what is known of them in parts.
+    parts = lambda n: F.ceil(F.col(n) / (4 * TILE)).cast("int")
+    most = most.withColumn("salt", F.explode(F.sequence(F.lit(0), parts("all") - 1)))
+    dealt = placed.select("bucket", "id", "component", F.pmod(F.xxhash64("id", F.lit(11)), parts("size")).cast("int").alias("salt")).join(most.hint("merge"), ["bucket", "salt"])
     dealt = dealt.withColumns({"rows": F.ceil((F.col("all") - F.col("most")) / TILE).cast("int"), "columns": F.ceil(F.col("all") / TILE).cast("int")})
     left = dealt.where(rest).select("bucket", place("rows").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(True).alias("query"), "id", "component")
     right = dealt.select("bucket", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), place("columns").alias("j"), F.lit(False).alias("query"), "id", "component")
@@ -178,7 +200,9 @@ def _apart(placed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
             y = right[(comp[right] != comp[x]) & (np.minimum(n[right], n[x]) >= threshold * np.maximum(n[right], n[x]))]
             y = y[[forest.find(int(c)) != forest.find(int(comp[x])) for c in comp[y]]] if len(y) else y
             if len(y):
-                for z in y[likelihood(np.repeat(regs[x : x + 1], len(y), 0), regs[y], np.full(len(y), float(n[x])), n[y].astype(float)) >= cut]:
+                theirs = regs[y]
+                more, less = (regs[x] > theirs).sum(1), (regs[x] < theirs).sum(1)
+                for z in y[rises(more, less, REGISTERS - more - less, float(n[x]), n[y].astype(float), cut)]:
                     if forest.link(int(comp[x]), int(comp[z])):
                         out.append((int(ids[x]), int(ids[z])))
         return links_batch(out) if out else None

@@ -150,6 +150,19 @@ def test_likelihood_is_close_to_the_similarity():
     assert np.abs(np.array(found) - true).mean() < 0.03
 
 
+def test_the_likelihood_rises_up_to_its_maximum():
+    rng = np.random.default_rng(14)
+    a = rng.integers(0, 4, (3000, setsketch.REGISTERS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < rng.random((3000, 1)), a, rng.integers(0, 4, a.shape)).astype(np.uint16)
+    n = rng.integers(60, 100, (2, 3000)).astype(float)
+    more, less = (a > b).sum(1), (a < b).sum(1)
+    best = setsketch.likelihood(a, b, *n, step=0.002)
+    for at in (0.3, 0.5, 0.6):
+        up = setsketch.rises(more, less, setsketch.REGISTERS - more - less, *n, at)
+        clear = np.abs(best - at) > 0.003
+        assert (up == (best >= at))[clear].all() and 0.1 < up.mean() < 0.95
+
+
 def test_registers_of_a_union_are_the_maxima():
     rng = np.random.default_rng(6)
     a, b = (rng.integers(1, 2**63, 50, dtype=np.uint64) for _ in range(2))
