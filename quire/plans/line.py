@@ -6,6 +6,7 @@ A recipe is a driver object of a few dozen steps; what it decides about cells is
 from __future__ import annotations
 
 import hashlib
+import inspect
 import json
 import os
 import re
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SOURCES = ("metadata", "page_list")
 
@@ -31,11 +33,32 @@ class Station:
     options: tuple[str, ...] = ()
     model: bool = False
     run: Callable[..., Any] | None = None
+    #: Further source files that the station's results hang on.
+    sources: tuple[str, ...] = ()
 
     @property
     def socket(self) -> tuple:
         return self.consumes, self.optional, self.produces, self.grain
 
+    @property
+    def code(self) -> str:
+        """The identity of the station's code: name, variant, its function's name, and the bytes of the files that it is made of."""
+        h = hashlib.sha256(f"station\0{self.name}\0{self.variant}\0".encode())
+        paths = list(self.sources)
+        if self.run is not None:
+            h.update(f"{self.run.__module__}.{self.run.__qualname__}\0".encode())
+            try:
+                paths.append(inspect.getsourcefile(self.run) or "")
+            except TypeError:
+                pass
+            if not paths[-1:] or not os.path.isfile(paths[-1]):  # made at run time: its code alone
+                paths = paths[: len(self.sources)]
+                h.update(self.run.__code__.co_code if hasattr(self.run, "__code__") else b"")
+        for path in sorted(set(paths)):
+            with open(path, "rb") as f:
+                h.update(os.path.basename(path).encode() + b"\0" + f.read() + b"\0")
+        return h.hexdigest()[:16]
+
 
 @dataclass
 class Registry:
@@ -196,11 +219,16 @@ def artifact_fingerprint(payload: Mapping[str, Any]) -> str:
 
 
 def closure(edges: DataFrame, roots: list[str]) -> DataFrame:
-    """(name) of all that the roots lead to, by a recursive query."""
-    edges.createOrReplaceTempView("_quire_edges")
-    values = ", ".join("('" + r.replace("'", "''") + "')" for r in roots)
-    return edges.sparkSession.sql(f"""
-        with recursive reach(name, depth) as (
-          select cast(col1 as string), 0 from values {values}
-          union all select e.dst, r.depth + 1 from reach r join _quire_edges e on e.src = r.name where r.depth < 60
-        ) select distinct name from reach""")
+    """(name) of all that the roots lead to, however far: each round follows the edges of what is new, until nothing is.
+
+    A round's new names are checkpointed where the session has a folder for it, else cached, so that plans do not grow.
+    """
+    spark = edges.sparkSession
+    settled = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
+    arrows = edges.select("src", "dst").distinct()
+    seen = new = spark.createDataFrame([(r,) for r in sorted(set(roots))], "name string")
+    while True:
+        new = settled(new.join(arrows, new.name == arrows.src).select(F.col("dst").alias("name")).distinct().join(seen, "name", "left_anti"))
+        if new.isEmpty():
+            return seen
+        seen = settled(seen.unionAll(new))

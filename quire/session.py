@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +23,16 @@ def session(app: str = "quire", cpus: int | None = None, shuffle_partitions: int
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's URI below spark.checkpoint.dir. Only a local session, as in tests, may leave that unset."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = base or tempfile.mkdtemp(prefix="quire-")
+    if "://" not in base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        base = "file://" + base.removeprefix("file:") if base.startswith("file:/") and not base.startswith("file://") else base
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
