@@ -9,6 +9,7 @@ from __future__ import annotations
 import statistics
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,21 +41,45 @@ def reading_order(boxes: DataFrame, key: list[str]) -> DataFrame:
     return out.withColumn("reading_order", F.row_number().over(Window.partitionBy(*key).orderBy("register", "column")))
 
 
+def _cells(low: Column, high: Column, side: float) -> Column:
+    """Numbers of the grid cells that an interval touches."""
+    return F.explode(F.sequence(F.floor(low / side), F.floor(F.greatest(low, high) / side)))
+
+
+def _grid(boxes: DataFrame) -> tuple[float, float]:
+    """The sides of a grid for boxes x0, y0, x1, y1: their mean width and height."""
+    w, h = boxes.agg(F.avg(F.col("x1") - F.col("x0")), F.avg(F.col("y1") - F.col("y0"))).first()
+    return (w if w and w > 0 else 1.0), (h if h and h > 0 else 1.0)
+
+
+def _within(points: DataFrame, boxes: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs of points (cx, cy) and boxes (x0, y0, x1, y1) that hold them, bounds included, met by the cells of a grid."""
+    gx, gy = _grid(boxes)
+    spread = boxes.select("*", _cells(F.col("x0"), F.col("x1"), gx).alias("_gx")).select("*", _cells(F.col("y0"), F.col("y1"), gy).alias("_gy"))
+    placed = points.select("*", F.floor(F.col("cx") / gx).alias("_gx"), F.floor(F.col("cy") / gy).alias("_gy"))
+    return placed.join(spread, [*key, "_gx", "_gy"]).where("cx between x0 and x1 and cy between y0 and y1").drop("_gx", "_gy")
+
+
 def in_regions(points: DataFrame, regions: DataFrame, key: list[str]) -> DataFrame:
     """Each point's region, bounds included: the smallest by area, the first among equals; null if it is in none."""
-    inside = [points[k] == regions[k] for k in key] + [points.cx >= regions.x0, points.cx <= regions.x1, points.cy >= regions.y0, points.cy <= regions.y1]
-    area = ((regions.x1 - regions.x0) * (regions.y1 - regions.y0)).alias("_area")
-    j = points.join(regions, inside, "left").select(*[points[c] for c in points.columns], regions.region_id, area)
-    w = Window.partitionBy(*key, "point_id").orderBy(F.asc_nulls_last("_area"), F.asc_nulls_last("region_id"))
-    return j.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_area")
+    found = _within(points.select(*key, "point_id", "cx", "cy"), regions.select(*key, "region_id", "x0", "y0", "x1", "y1"), key)
+    best = found.groupBy(*key, "point_id").agg(F.min(F.struct(((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("a"), "region_id"))["region_id"].alias("region_id"))
+    return points.join(best, [*key, "point_id"], "left").select(*[points[c] for c in points.columns], "region_id")
 
 
 def outside_figures(text: DataFrame, figures: DataFrame, key: list[str], share: float = 0.7) -> DataFrame:
-    """Text boxes without those that lie in a figure by at least the given share of their area."""
-    w = F.least(text.x + text.w, figures.x + figures.w) - F.greatest(text.x, figures.x)
-    h = F.least(text.y + text.h, figures.y + figures.h) - F.greatest(text.y, figures.y)
-    covered = F.greatest(w, F.lit(0)) * F.greatest(h, F.lit(0)) >= share * text.w * text.h
-    return text.join(figures, [text[k] == figures[k] for k in key] + [covered], "left_anti")
+    """Text boxes (with a box_id) without those that lie in a figure by at least the given share, over one half, of their area.
+
+    Such a figure holds the box's centre, so boxes meet figures by the grid cells of their centres.
+    """
+    if share <= 0.5:
+        raise ValueError("the share must be over one half")
+    f = figures.select(*key, F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("w")).alias("x1"), (F.col("y") + F.col("h")).alias("y1"))
+    t = text.select(*key, "box_id", "x", "y", "w", "h", (F.col("x") + F.col("w") / 2).alias("cx"), (F.col("y") + F.col("h") / 2).alias("cy"))
+    w = F.least(F.col("x") + F.col("w"), F.col("x1")) - F.greatest("x", "x0")
+    h = F.least(F.col("y") + F.col("h"), F.col("y1")) - F.greatest("y", "y0")
+    covered = F.greatest(w, F.lit(0)) * F.greatest(h, F.lit(0)) >= share * F.col("w") * F.col("h")
+    return text.join(_within(t, f, key).where(covered).select(*key, "box_id").distinct(), [*key, "box_id"], "left_anti")
 
 
 def iou(a: tuple[float, float, float, float], b: tuple[float, float, float, float]) -> float:
@@ -67,10 +92,16 @@ def iou(a: tuple[float, float, float, float], b: tuple[float, float, float, floa
 
 def suppress(boxes: list[tuple[float, float, float, float]], scores: list[float], most: float) -> list[int]:
     """Places of the boxes kept, best score first; among equal scores the later box comes first."""
-    kept: list[int] = []
-    for i in sorted(range(len(boxes)), key=lambda i: (-scores[i], -i)):
-        if all(iou(boxes[i], boxes[j]) <= most for j in kept):
-            kept.append(i)
+    x0, y0, x1, y1 = np.array(boxes, float).reshape(-1, 4).T
+    area, kept = (x1 - x0) * (y1 - y0), []
+    rest = np.array(sorted(range(len(boxes)), key=lambda i: (-scores[i], -i)), int)
+    while len(rest):
+        i, rest = rest[0], rest[1:]
+        kept.append(int(i))
+        w, h = np.minimum(x1[rest], x1[i]) - np.maximum(x0[rest], x0[i]), np.minimum(y1[rest], y1[i]) - np.maximum(y0[rest], y0[i])
+        inter = np.maximum(w, 0) * np.maximum(h, 0)
+        union = area[rest] + area[i] - inter
+        rest = rest[np.divide(inter, union, out=np.zeros_like(inter), where=union > 0) <= most]
     return kept
 
 
@@ -87,33 +118,39 @@ def non_maximum_suppression(boxes: DataFrame, key: str, most: float) -> DataFram
 
 
 def cluster_columns(centres: list[float], widths: list[float], gap: float = 0.45) -> list[int]:
-    """Column of each item: from the right, each joins the nearest column whose median centre is near enough, else begins one."""
+    """Column of each item: from the right, each joins the nearest column whose median centre is near enough, else begins one.
+
+    Columns are numbered by their median centres, from the right.
+    """
     if not centres:
         return []
     limit = gap * statistics.median(widths)
     groups: list[list[int]] = []
-    out = [0] * len(centres)
     for i in sorted(range(len(centres)), key=lambda i: -centres[i]):
         away = [(abs(statistics.median(centres[j] for j in g) - centres[i]), k) for k, g in enumerate(groups)]
         near = min((x for x in away if x[0] <= limit), default=None)
         if near is None:
             groups.append([i])
-            out[i] = len(groups) - 1
         else:
             groups[near[1]].append(i)
-            out[i] = near[1]
+    out = [0] * len(centres)
+    for k, g in enumerate(sorted(groups, key=lambda g: -statistics.median(centres[j] for j in g))):
+        for i in g:
+            out[i] = k
     return out
 
 
 def detected_columns(boxes: DataFrame, key: str) -> DataFrame:
-    """(key, box_id, column) by greedy clustering of centres."""
+    """(key, box_id, column, place) by greedy clustering of centres; a column's boxes are ordered by top, then left edge."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("box_id", kind="stable").reset_index(drop=True)
-        return f[[key, "box_id"]].assign(column=cluster_columns(((f["x0"] + f["x1"]) / 2).tolist(), (f["x1"] - f["x0"]).tolist()))
+        f = f.assign(column=cluster_columns(((f["x0"] + f["x1"]) / 2).tolist(), (f["x1"] - f["x0"]).tolist()))
+        f = f.sort_values(["column", "y0", "x0"], kind="stable")
+        return f[[key, "box_id", "column"]].assign(place=f.groupby("column").cumcount())
 
     kinds = dict(boxes.dtypes)
-    return boxes.groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, box_id {kinds['box_id']}, column int")
+    return boxes.groupBy(key).applyInPandas(run, f"{key} {kinds[key]}, box_id {kinds['box_id']}, column int, place int")
 
 
 def align(n: int, m: int, match: Callable[[int, int], float], skip_row: float, skip_column: float) -> list[tuple[int | None, int | None]]:
@@ -143,15 +180,31 @@ def align(n: int, m: int, match: Callable[[int, int], float], skip_row: float, s
     return out
 
 
-def align_counts(counts: list[int], lengths: list[int], gap: float = 4.0) -> tuple[list[int | None], str]:
-    """For each line the column of boxes that it belongs to, by counts; as many columns as lines are taken as they are."""
-    if len(counts) == len(lengths):
-        return list(range(len(lengths))), "identity"
-    out: list[int | None] = [None] * len(lengths)
-    for i, j in align(len(lengths), len(counts), lambda i, j: abs(lengths[i] - counts[j]), gap, gap):
-        if i is not None and j is not None:
-            out[i] = j
-    return out, "aligned"
+def align_counts(counts: list[int], lengths: list[int], gap: float = 4) -> tuple[list[int | None], str]:
+    """For each line the column of boxes that it belongs to, by counts, and how that was found.
+
+    As many columns as lines are taken by place. Else the cheapest alignment is read from its end: a pair goes before a column that is
+    passed over, and that before a line without a column.
+    """
+    n, m = len(counts), len(lengths)
+    if n == m:
+        return list(range(n)), "index"
+    best = np.zeros((n + 1, m + 1))
+    best[:, 0], best[0] = gap * np.arange(n + 1), gap * np.arange(m + 1)
+    for i in range(n):
+        for j in range(m):
+            best[i + 1, j + 1] = min(best[i, j] + abs(counts[i] - lengths[j]), best[i, j + 1] + gap, best[i + 1, j] + gap)
+    out: list[int | None] = [None] * m
+    i, j = n, m
+    while i and j:
+        if best[i, j] == best[i - 1, j - 1] + abs(counts[i - 1] - lengths[j - 1]):
+            i, j = i - 1, j - 1
+            out[j] = i
+        elif best[i, j] == best[i - 1, j] + gap:
+            i -= 1
+        else:
+            j -= 1
+    return out, f"realigned {n} detected columns to {m} lines"
 
 
 def pair_columns(columns_: list[int], texts: list[int]) -> list[int | None]:
@@ -163,40 +216,56 @@ def pair_columns(columns_: list[int], texts: list[int]) -> list[int | None]:
     return out
 
 
-def bind_characters(heights: list[float], chars: int, glyph: float) -> list[tuple[int | None, int | None, float]]:
-    """For each character the cells that it is bound to (first, count, confidence): one to four fused cells, or none."""
-    n, m = chars, len(heights)
-    cost = [[float("inf")] * (m + 1) for _ in range(n + 1)]
-    step: list[list[tuple[str, int]]] = [[("end", 0)] * (m + 1) for _ in range(n + 1)]
-    for i in range(n, -1, -1):
-        for j in range(m, -1, -1):
-            if i == n and j == m:
-                cost[i][j] = 0.0
-                continue
-            options: list[tuple[float, str, int]] = []
-            if i < n:
-                for k in range(1, min(4, m - j) + 1):
-                    fit = abs(sum(heights[j : j + k]) - glyph) / glyph * 0.8 + 0.15 * (k - 1)
-                    options.append((fit + cost[i + 1][j + k], "match", k))
-                options.append((1.0 + cost[i + 1][j], "skip", 0))
-            if j < m:
-                options.append((0.9 + cost[i][j + 1], "cell", 0))
-            best = min(options, key=lambda x: x[0])
-            cost[i][j], step[i][j] = best[0], best[1:]
-    out: list[tuple[int | None, int | None, float]] = []
-    i = j = 0
-    while i < n or j < m:
-        kind, k = step[i][j]
-        if kind == "match":
-            fit = abs(sum(heights[j : j + k]) - glyph) / glyph * 0.8 + 0.15 * (k - 1)
-            out.append((j, k, max(0.05, 1 - fit)))
-            i, j = i + 1, j + k
-        elif kind == "skip":
-            out.append((None, None, 0.05))
-            i += 1
+Box = tuple[int, int, int, int]
+
+
+def fit_cost(height: float, glyph: float) -> float:
+    """How badly a cell's height fits a character's."""
+    return abs(height - glyph) / glyph * 0.8
+
+
+def bind_characters(cells: list[Box], chars: int, glyph: float, most: int = 4) -> list[tuple[Box | None, float, str]]:
+    """For each character the box x, y, w, h of the cells x0, y0, x1, y1 that it is bound to, a confidence and the method.
+
+    A character takes one to most cells, united, each beyond the first at 0.15, or none at 1.0; a cell may be left over at 0.9. Among equal costs
+    more cells go first, then a cell left over, then a character without one.
+    """
+    n = len(cells)
+
+    def united(lo: int, hi: int) -> Box:
+        x0, y0, x1, y1 = zip(*cells[lo:hi], strict=True)
+        return min(x0), min(y0), max(x1), max(y1)
+
+    cost = np.full((n + 1, chars + 1), np.inf)
+    step: dict[tuple[int, int], int] = {}
+    cost[0, 0] = 0.0
+    for i in range(n + 1):
+        for j in range(chars + 1):
+            options = []
+            if j:
+                for k in range(min(most, i), 0, -1):
+                    box = united(i - k, i)
+                    options.append((cost[i - k, j - 1] + fit_cost(box[3] - box[1], glyph) + 0.15 * (k - 1), k))
+            if i:
+                options.append((cost[i - 1, j] + 0.9, -1))
+            if j:
+                options.append((cost[i, j - 1] + 1.0, 0))
+            if options:
+                cost[i, j], step[i, j] = min(options, key=lambda x: x[0])
+    out: list[tuple[Box | None, float, str]] = []
+    i, j = n, chars
+    while i or j:
+        k = step[i, j]
+        if k > 0:
+            x0, y0, x1, y1 = united(i - k, i)
+            out.append(((x0, y0, x1 - x0, y1 - y0), round(max(0.05, 1 - fit_cost(y1 - y0, glyph)), 3), "blob" if k == 1 else "merged"))
+            i, j = i - k, j - 1
+        elif k == 0:
+            out.append((None, 0.0, "none"))
+            j -= 1
         else:
-            j += 1
-    return out
+            i -= 1
+    return out[::-1]
 
 
 def merge_boxes(boxes: list[tuple[int, int, int, int]], share: float = 0.4) -> list[tuple[int, int, int, int]]:

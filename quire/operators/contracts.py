@@ -30,6 +30,19 @@ def page_list_problems(pages: DataFrame) -> DataFrame:
     return rows.select("doc_id", problem.alias("problem")).distinct()
 
 
+def record_problems(doc_id: Column, metadata: Column, page_list: Column) -> Column:
+    """Messages for what intake has made of a document: its id, its metadata and its page list, in JSON, bound to that id."""
+    say = lambda what, problems: F.transform(problems, lambda x: F.concat(F.lit(f"{what}: "), x))
+    pages = F.from_json(page_list, "struct<pages array<struct<page_id string, url string, order int>>>")["pages"]
+    ids = F.transform(pages, lambda p: p["page_id"])
+    own = failures(
+        (F.coalesce(F.size(pages), F.lit(0)) > 0, "there are no pages"),
+        (F.coalesce(F.size(F.array_distinct(ids)) == F.size(ids), F.lit(True)), "page_id repeats"),
+        (F.coalesce(F.forall(pages, lambda p: (strip(F.coalesce(p["page_id"], F.lit(""))) != "") & (strip(F.coalesce(p["url"], F.lit(""))) != "") & p["order"].isNotNull()), F.lit(True)), "a page lacks its id, url or order"),
+    )
+    return F.concat(failures((doc_id_valid(doc_id), "doc_id is malformed")), say("metadata", payload_problems(metadata, ["doc_id", "source"], doc_id)), say("page_list", F.concat(payload_problems(page_list, ["doc_id", "pages"], doc_id), own)))
+
+
 def book_problems(folios: DataFrame, sections: DataFrame, apparatus: DataFrame, colophon: DataFrame | None = None) -> DataFrame:
     """(doc_id, problem): whatever does not refer rightly within books.
 

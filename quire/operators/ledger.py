@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.exprs import sum_or_unknown, sum_or_unknown_where
+from quire.functions.exprs import sum_or_unknown_where
 
 
 def latest_state(runs: DataFrame) -> DataFrame:
@@ -84,15 +84,21 @@ def run_report(cells: DataFrame) -> DataFrame:
 def colophon(stamps: DataFrame) -> DataFrame:
     """By station in order of first appearance: runs, token sums, cost, known cost, whether the cost is complete, configurations.
 
-    A stamp without a model costs nothing. stamps has seq, station, model, config, tokens_in, tokens_out, cost_usd.
+    A stamp without a model costs nothing. stamps has seq, station, model, config, tokens_in, tokens_out, cost_usd. Stamps are summed by
+    station and configuration first, so what meets in one row are the few configurations of a station.
     """
     cost = F.when(F.col("model").isNull(), F.lit(0.0)).otherwise(F.col("cost_usd"))
     rows = stamps.withColumn("_cost", cost)
-    configs = F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("seq", "config"))), lambda x: x["config"]))
-    return rows.groupBy("station").agg(
-        F.min("seq").alias("first_seq"), F.count("*").alias("runs"), sum_or_unknown(F.col("tokens_in")).alias("tokens_in"), sum_or_unknown(F.col("tokens_out")).alias("tokens_out"),
-        F.bround(sum_or_unknown(F.col("_cost")), 4).alias("cost_usd"), F.bround(F.coalesce(F.sum("_cost"), F.lit(0.0)), 4).alias("cost_usd_known"),
-        (F.count("_cost") == F.count("*")).alias("cost_complete"), configs.alias("configurations"),
+    each = rows.groupBy("station", "config").agg(
+        F.min("seq").alias("first"), F.count("*").alias("n"), F.count("_cost").alias("known"), F.sum("_cost").alias("cost"),
+        *[f(c).alias(f"{f.__name__}_{c}") for c in ("tokens_in", "tokens_out") for f in (F.sum, F.count)],
+    )
+    whole = lambda total, known: F.when(F.sum(known) == F.sum("n"), F.sum(total))
+    configs = F.filter(F.transform(F.sort_array(F.collect_list(F.struct("first", "config"))), lambda x: x["config"]), lambda c: c.isNotNull())
+    return each.groupBy("station").agg(
+        F.min("first").alias("first_seq"), F.sum("n").alias("runs"), whole("sum_tokens_in", "count_tokens_in").alias("tokens_in"), whole("sum_tokens_out", "count_tokens_out").alias("tokens_out"),
+        F.bround(whole("cost", "known"), 4).alias("cost_usd"), F.bround(F.coalesce(F.sum("cost"), F.lit(0.0)), 4).alias("cost_usd_known"),
+        (F.sum("known") == F.sum("n")).alias("cost_complete"), configs.alias("configurations"),
     )
 
 
@@ -125,11 +131,19 @@ def usage_by_turn(turns: DataFrame) -> DataFrame:
 
 
 def cost_prefix(orders: DataFrame, order: list, cost: str, most: float) -> DataFrame:
-    """The first rows in order whose cost before them is known and below a ceiling. One ordered scan of the selected rows."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = orders.withColumn("_before", F.coalesce(F.sum(cost).over(before), F.lit(0.0)))
-    rows = rows.withColumn("_unknown", F.coalesce(F.count_if(F.col(cost).isNull()).over(before), F.lit(0)))
-    return rows.where((F.col("_before") < most) & (F.col("_unknown") == 0)).drop("_before", "_unknown")
+    """The first rows in order whose cost before them is known and below a ceiling.
+
+    Ranges of the order are summed by themselves; one row a range meets in a running sum, which then is where each range begins.
+    """
+    ranged = orders.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).persist()
+    unknown = F.col(cost).isNull().cast("long")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_range").agg(F.sum(cost).alias("_c"), F.sum(unknown).alias("_u"))
+    totals = totals.select("_range", F.coalesce(F.sum("_c").over(before), F.lit(0.0)).alias("_base"), F.coalesce(F.sum("_u").over(before), F.lit(0)).alias("_base_u"))
+    own = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.join(totals.where((F.col("_base") < most) & (F.col("_base_u") == 0)), "_range")
+    rows = rows.withColumn("_before", F.col("_base") + F.coalesce(F.sum(cost).over(own), F.lit(0.0))).withColumn("_unknown", F.coalesce(F.sum(unknown).over(own), F.lit(0)))
+    return rows.where((F.col("_before") < most) & (F.col("_unknown") == 0)).select(*orders.columns)
 
 
 def health(checks: DataFrame) -> DataFrame:

@@ -107,10 +107,15 @@ def chunks(records: DataFrame, key: str, order: str, length: Column, most_tokens
 
 
 def first_wins(rows: DataFrame, value: str, order: list[str], keys: list[str] | None = None) -> DataFrame:
-    """The first row of each lower-cased, stripped value; empty values are dropped."""
-    rows = rows.withColumn("_key", F.lower(strip(F.col(value)))).where("_key <> ''")
-    w = Window.partitionBy(*(keys or []), "_key").orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_key")
+    """The first row of each lower-cased, stripped value; empty values are dropped.
+
+    A minimum by key, so that frequent values are thinned out before the shuffle; equal orders are told apart by the other columns.
+    """
+    columns = rows.columns
+    row = F.struct(*order, *[c for c in columns if c not in order])
+    keyed = rows.withColumn("_key", F.lower(strip(F.col(value)))).where("_key <> ''")
+    found = keyed.groupBy(*[F.col(k).alias(f"_by_{k}") for k in keys or []], "_key").agg(F.min(row).alias("_row"))
+    return found.select(*[F.col("_row")[c].alias(c) for c in columns])
 
 
 def _seam(before: list[str], after: list[str]) -> tuple[int, float] | None:
@@ -140,11 +145,11 @@ def find_overlap(before: Column, after: Column) -> Column:
 
 
 def trim_overlap(text: Column, seam: Column) -> Column:
-    """The text without its first seam lines of content, and what was dropped."""
+    """The text without its first seam lines of content and without line ends around it, and what was dropped."""
     all_ = lines(text)
     numbered = F.transform(F.sequence(F.lit(0), F.size(all_)), lambda i: F.size(F.filter(F.slice(all_, F.lit(1), i), lambda x: strip(x) != "")))
     physical = F.size(F.filter(numbered, lambda n: n < seam["lines"]))
-    kept = F.regexp_replace(F.array_join(F.slice(all_, physical + 1, F.size(all_)), "\n"), r"\A\n+", "")
+    kept = F.regexp_replace(F.array_join(F.slice(all_, physical + 1, F.size(all_)), "\n"), r"\A\n+|\n+\z", "")
     dropped = F.array_join(F.slice(all_, F.lit(1), physical), "\n")
     return F.when(seam["lines"].isNull(), F.struct(text.alias("text"), F.lit("").alias("dropped"))).otherwise(F.struct(kept.alias("text"), dropped.alias("dropped")))
 
@@ -189,43 +194,84 @@ def _sweep_pairs(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def sweeps(sections: DataFrame, least: int = 2) -> DataFrame:
-    """One-character replacements made at least so often whose old character still stands in the new texts.
+    """Per document: one-character replacements made at least so often whose old character still stands in its new texts.
 
-    sections has before and after; the rest is an explode, a count and a sum of what is left.
+    sections has doc_id, before and after; the rest is an explode, a count and a sum of what is left. A document's texts are joined by
+    line ends, which count where a line end was replaced.
     """
     pair = F.split(F.col("_pair"), "\t")
-    found = sections.select(F.explode(_sweep_pairs("before", "after")).alias("_pair")).select(pair[0].alias("old"), pair[1].alias("new"))
-    found = found.groupBy("old", "new").agg(F.count("*").alias("instances")).where(F.col("instances") >= least)
-    left = sections.select(F.explode(F.split("after", "")).alias("old")).where("old <> ''").groupBy("old").agg(F.count("*").alias("survivors"))
-    return found.join(left, "old")
+    found = sections.select("doc_id", F.explode(_sweep_pairs("before", "after")).alias("_pair")).select("doc_id", pair[0].alias("old"), pair[1].alias("new"))
+    found = found.groupBy("doc_id", "old", "new").agg(F.count("*").alias("instances")).where(F.col("instances") >= least)
+    olds = found.select("doc_id", "old").distinct()
+    left = sections.select("doc_id", F.explode(F.split("after", "")).alias("old")).where("old <> ''").join(olds, ["doc_id", "old"], "left_semi")
+    between = sections.groupBy("doc_id").agg((F.count("*") - 1).alias("n")).withColumn("old", F.lit("\n")).where("n > 0").join(olds, ["doc_id", "old"], "left_semi")
+    left = left.groupBy("doc_id", "old").agg(F.count("*").alias("n")).unionByName(between).groupBy("doc_id", "old").agg(F.sum("n").alias("survivors"))
+    return found.join(left, ["doc_id", "old"])
+
+
+def _places(text: str, anchor: str) -> list[tuple[int, int]]:
+    """Where an anchor stands in a text, overlapping places included."""
+    out, at = [], text.find(anchor) if anchor else -1
+    while at >= 0:
+        out.append((at, at + len(anchor)))
+        at = text.find(anchor, at + 1)
+    return out
 
 
-def uncovered(before: str, after: str, anchors: list[str], reach: int = 2) -> list[str]:
-    """Changed spans of a section that no anchored passage covers, on the side that changed; anchors may overlap."""
+def uncovered(before: str, after: str, old_anchors: list[str], new_anchors: list[str], reach: int = 2) -> list[tuple[str, str, int]]:
+    """Changes (old, new, place in before) that no anchored passage covers.
+
+    What was taken away or replaced must lie within an anchor of the old text, what was only added within one of the new text, up to
+    reach characters off.
+    """
+    spans = [p for x in old_anchors for p in _places(before, x)], [p for x in new_anchors for p in _places(after, x)]
     out = []
-    for op, i, j, k, m in spans_of(before, after):
-        side, lo, hi = (before, i, j) if op == "delete" else (after, k, m)
-        inside = False
-        for a in anchors:
-            at = side.find(a) if a else -1
-            while at >= 0 and not inside:
-                inside = at - reach <= lo and hi <= at + len(a) + reach
-                at = side.find(a, at + 1)
-        if not inside:
-            out.append(side[lo:hi])
+    for _, i, j, k, m in spans_of(before, after):
+        side, lo, hi = (0, i, j) if j > i else (1, k, m)
+        if not any(a - reach <= lo and hi <= b + reach for a, b in spans[side]):
+            out.append((before[i:j], after[k:m], i))
+    return out
+
+
+def coverage_problems(manuscript: list[tuple[str, str]], sections: list[tuple[str, str]], apparatus: list[tuple[str, str, str, str]]) -> list[tuple[str, str, str]]:
+    """(kind, section, detail) of what an emended text's apparatus leaves open.
+
+    manuscript and sections: (heading, text); apparatus: (section, old anchor, new anchor, evidence).
+    """
+    originals, out = dict(manuscript), []
+    if [h for h, _ in sections] != list(originals):
+        out.append(("headings differ", "", ""))
+    by_section: dict[str, list[tuple[str, str]]] = {}
+    for section, old, new, evidence in apparatus:
+        by_section.setdefault(section, []).append((old, new))
+        if section not in originals:
+            out.append(("unknown section", section, ""))
+        if evidence.lstrip().casefold().startswith("parallel") and "·" not in evidence:
+            out.append(("citation without work and section", section, evidence))
+    for heading, reading in sections:
+        original, entries = originals.get(heading, ""), by_section.get(heading, [])
+        for old, new in entries:
+            out += [("anchor not found", heading, f"{side}: {x[:30]}") for side, text, x in (("original", original, old), ("emended", reading, new)) if x and x not in text]
+        out += [("uncovered change", heading, f"{a} -> {b} at {at}") for a, b, at in uncovered(original, reading, [x for x, _ in entries], [x for _, x in entries])]
     return out
 
 
-def coverage_failures(sections: DataFrame) -> DataFrame:
-    """(doc_id, section, change) of changes without an anchor; sections has before, after and anchors."""
+def coverage_failures(documents: DataFrame) -> DataFrame:
+    """(doc_id, kind, section, detail) of coverage_problems(); documents has doc_id and three arrays of structs:
+
+    manuscript and sections (heading, text), apparatus (section, original, emended, evidence).
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        said = lambda rows, *names: [tuple(r[n] or "" for n in names) for r in (rows if rows is not None else [])]
         for f in frames:
-            rows = [(d, s, c) for d, s, b, a, x in f[["doc_id", "section", "before", "after", "anchors"]].itertuples(index=False) for c in uncovered(b or "", a or "", list(x) if x is not None else [])]
-            yield pd.DataFrame(rows, columns=["doc_id", "section", "change"])
+            rows = []
+            for d, m, s, a in f[["doc_id", "manuscript", "sections", "apparatus"]].itertuples(index=False):
+                found = coverage_problems(said(m, "heading", "text"), said(s, "heading", "text"), said(a, "section", "original", "emended", "evidence"))
+                rows += [(d, *x) for x in found]
+            yield pd.DataFrame(rows, columns=["doc_id", "kind", "section", "detail"])
 
-    kind = dict(sections.dtypes)
-    return sections.mapInPandas(run, f"doc_id {kind['doc_id']}, section {kind['section']}, change string")
+    return documents.mapInPandas(run, f"doc_id {dict(documents.dtypes)['doc_id']}, kind string, section string, detail string")
 
 
 def pair_lines(base: list[str], other: list[str], least: float = 0.5) -> dict[int, str]:

@@ -147,6 +147,22 @@ def test_cost_gate():
 # Sequences ----------------------------------------------------------------------------------------------------------------
 
 
+def test_trimmed_pages_have_no_line_ends_around(spark):
+    before, after = "one line of ink\ntwo line of ink\nthree here it is", "two line of ink\nthree here it is\n\nnew text here\n\n"
+    d = spark.createDataFrame([("d", 1, before), ("d", 2, after)], "doc_id string, o int, text string")
+    row = sequences.seams(d, "doc_id", "o", "text").where("o = 2").first()
+    assert row.seam.lines == 2 and row.trimmed.text == "new text here" and row.trimmed.dropped == "two line of ink\nthree here it is"
+
+
+def test_coverage_problems():
+    manuscript, sections = [("a", "the old word"), ("b", "same")], [("a", "the new word"), ("b", "same more")]
+    entries = [("a", "old word", "new word", "Parallel: work · 3"), ("b", "", "same more", "  PARALLEL text"), ("c", "x", "", "")]
+    assert sequences.coverage_problems(manuscript, sections, entries) == [("citation without work and section", "b", "  PARALLEL text"), ("unknown section", "c", "")]
+    assert sequences.coverage_problems(manuscript, sections[::-1], [("a", "gone", "new", "")]) == [
+        ("headings differ", "", ""), ("uncovered change", "b", " ->  more at 4".replace(" ->  more", " ->  more")), ("anchor not found", "a", "original: gone"), ("uncovered change", "a", "old -> new at 4"),
+    ]
+
+
 def test_assembly(spark):
     pages = spark.createDataFrame([("d", 1, "p1", "one hyph-"), ("d", 2, "p2", " "), ("d", 3, "p3", "enated"), ("d", 4, "p4", "goes on"), ("d", 5, "p5", "new")], "doc_id string, order int, page_id string, text string")
     joins = spark.createDataFrame([("d", "p2", "p3", "hyphenation_repair"), ("d", "p3", "p4", "sentence_continuation")], "doc_id string, from_page string, to_page string, join string")
@@ -169,10 +185,15 @@ def test_seams(spark):
 
 
 def test_diffs(spark):
-    assert sequences.uncovered("the old word here", "the new word here", ["new word"]) == []
-    assert sequences.uncovered("the old word here", "the new word here", ["here"]) != []
+    # What was replaced must be anchored in the old text, what was added in the new one.
+    assert sequences.uncovered("the old word here", "the new word here", ["old word"], []) == []
+    assert sequences.uncovered("the old word here", "the new word here", [], ["new word"]) == [("old", "new", 4)]
+    assert sequences.uncovered("the word here", "the new word here", [], ["the new word"]) == [] != sequences.uncovered("the word here", "the new word here", ["the word"], [])
     d = spark.createDataFrame([("d", 1, "abcabc", "xbcxbc a"), ("d", 2, "q", "q")], "doc_id string, section int, before string, after string")
     assert [(r.old, r.new, r.instances, r.survivors) for r in sequences.sweeps(d).collect()] == [("a", "x", 2, 1)]
+    # Counts are of one document: the same replacements in two do not add up.
+    two = spark.createDataFrame([("d", 1, "abc", "xbc a"), ("e", 1, "abc", "xbc a")], "doc_id string, section int, before string, after string")
+    assert sequences.sweeps(two).count() == 0 and sequences.sweeps(two, 1).count() == 2
     got = one(spark, sequences.diff_spans(F.lit("a b c"), F.lit("axc")))
     assert [(s.base, s.alternative, s.at) for s in got] == [("b", "x", 1)]
     assert sequences.pair_lines(["one", "two words", "three"], ["one", "twa words", "x", "three"]) == {0: "one", 1: "twa words", 2: "three"}
@@ -190,16 +211,72 @@ def test_suppression_ties_and_regions(spark):
 
 
 def test_alignments():
-    assert geometry.align_counts([3, 5], [3, 5]) == ([0, 1], "identity")
-    assert geometry.align_counts([3, 9, 5], [3, 5]) == ([0, 2], "aligned")
+    assert geometry.align_counts([3, 5], [3, 5]) == ([0, 1], "index")
+    assert geometry.align_counts([3, 9, 5], [3, 5]) == ([0, 2], "realigned 3 detected columns to 2 lines")
+    assert geometry.align_counts([5, 10, 4, 10, 1], [7, 11, 7])[0] == [0, 1, 3]
+    assert geometry.align_counts([], [3])[0] == [None] and geometry.align_counts([3], [])[0] == []
     assert geometry.pair_columns([10, 2, 8], [10, 8]) == [0, 2]
     assert geometry.cluster_columns([100, 99, 50, 51], [10, 10, 10, 10]) == [0, 0, 1, 1]
-    bound = geometry.bind_characters([10.0, 5.0, 5.0], 2, 10.0)
-    assert [(a, b) for a, b, _ in bound] == [(0, 1), (1, 2)]
-    assert geometry.bind_characters([], 1, 10.0) == [(None, None, 0.05)]
+    cells = [(0, 0, 8, 10), (0, 12, 8, 17), (1, 17, 9, 22)]
+    assert geometry.bind_characters(cells, 2, 10.0) == [((0, 0, 8, 10), 1.0, "blob"), ((0, 12, 9, 10), 1.0, "merged")]
+    assert geometry.bind_characters([], 1, 10.0) == [(None, 0.0, "none")] and geometry.bind_characters(cells, 0, 10.0) == []
+    assert geometry.bind_characters([(0, 0, 5, 7)], 1, 10.0) == [((0, 0, 5, 7), 0.76, "blob")]
     assert geometry.merge_boxes([(0, 0, 10, 10), (5, 0, 15, 10), (50, 50, 60, 60)]) == [(0, 0, 15, 10), (50, 50, 60, 60)]
 
 
+def test_bindings_cost_least():
+    """Against all ways to bind: no way is cheaper, and characters and cells keep their order."""
+    rnd = random.Random(8)
+
+    def cost(cells, chars):
+        if not cells and not chars:
+            return 0.0
+        ways = []
+        if chars:
+            ways.append(1.0 + cost(cells, chars - 1))
+            for k in range(1, min(4, len(cells)) + 1):
+                height = max(c[3] for c in cells[:k]) - min(c[1] for c in cells[:k])
+                ways.append(geometry.fit_cost(height, 10.0) + 0.15 * (k - 1) + cost(cells[k:], chars - 1))
+        if cells:
+            ways.append(0.9 + cost(cells[1:], chars))
+        return min(ways)
+
+    for _ in range(40):
+        y, cells = 0, []
+        for _ in range(rnd.randint(0, 5)):
+            h = rnd.randint(2, 14)
+            cells.append((0, y, 8, y + h))
+            y += h + rnd.randint(0, 3)
+        chars = rnd.randint(0, 4)
+        bound = geometry.bind_characters(cells, chars, 10.0)
+        used = sum(sum(b[1] <= c[1] and c[3] <= b[1] + b[3] for c in cells) for b, _, _ in bound if b)
+        spent = sum(1.0 if b is None else geometry.fit_cost(b[3], 10.0) for b, _, _ in bound) + 0.15 * (used - sum(b is not None for b, _, _ in bound)) + 0.9 * (len(cells) - used)
+        assert len(bound) == chars and abs(spent - cost(cells, chars)) < 1e-9
+
+
+def test_detected_columns_are_read_from_the_top(spark):
+    rows = [(0, 1, 0.0, 9.0, 10.0, 19.0), (0, 2, 1.0, 0.0, 11.0, 8.0), (0, 3, 50.0, 5.0, 60.0, 15.0), (0, 4, 0.0, 0.0, 10.0, 8.0)]
+    d = spark.createDataFrame(rows, "page int, box_id int, x0 double, y0 double, x1 double, y1 double")
+    got = sorted((r.column, r.place, r.box_id) for r in geometry.detected_columns(d, "page").collect())
+    assert got == [(0, 0, 3), (1, 0, 4), (1, 1, 2), (1, 2, 1)]
+
+
+def test_grid_joins_equal_plain_ones(spark):
+    rnd = random.Random(4)
+    points = [(i, i % 2, rnd.uniform(-50, 50), rnd.uniform(-50, 50)) for i in range(200)]
+    boxes = [(i, i % 2, x := rnd.uniform(-60, 40), y := rnd.uniform(-60, 40), x + rnd.choice([1, 5, 40]), y + rnd.choice([1, 5, 40])) for i in range(40)]
+    p = spark.createDataFrame(points, "point_id int, page int, cx double, cy double")
+    r = spark.createDataFrame(boxes, "region_id int, page int, x0 double, y0 double, x1 double, y1 double")
+    best = {i: min((((x1 - x0) * (y1 - y0), k) for k, q, x0, y0, x1, y1 in boxes if q == page and x0 <= x <= x1 and y0 <= y <= y1), default=(0, None))[1] for i, page, x, y in points}
+    assert {r.point_id: r.region_id for r in geometry.in_regions(p, r, ["page"]).collect()} == best
+    text = [(i, page, x, y, rnd.uniform(1, 9), rnd.uniform(1, 9)) for i, page, x, y in points]
+    t = spark.createDataFrame(text, "box_id int, page int, x double, y double, w double, h double")
+    f = r.selectExpr("page", "x0 as x", "y0 as y", "x1 - x0 as w", "y1 - y0 as h")
+    inside = lambda page, x, y, w, h: any(q == page and max(0, min(x + w, x1) - max(x, x0)) * max(0, min(y + h, y1) - max(y, y0)) >= 0.7 * w * h for _, q, x0, y0, x1, y1 in boxes)
+    assert {r.box_id for r in geometry.outside_figures(t, f, ["page"]).collect()} == {i for i, *b in text if not inside(*b)}
+    assert geometry.in_regions(p, r.limit(0), ["page"]).where("region_id is null").count() == 200
+
+
 def test_alignment_is_the_cheapest():
     rnd = random.Random(1)
 
@@ -417,16 +494,178 @@ def test_image_rows(spark):
 
 
 def test_diff_queries_read_whole_turns(spark, tmp_path):
-    from collections import Counter
-
     from quire.plans import queries
 
-    alike = " ".join(f"{i}:" for i in range(100))
-    before, after = alike + " xaxbx tail", alike + " yaybx end, x"
-    spark.createDataFrame([(1, 0, "user", before), (1, 1, "user", after)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    assert len(alike) > 300
-    changes = sequences.uncovered(before, after, [after[:40]])
-    assert changes and sorted(r.change for r in queries.diff_coverage(spark, str(tmp_path)).collect()) == sorted(changes)
-    swaps = Counter((before[i], after[k]) for op, i, j, k, m in sequences.spans_of(before, after) if op == "replace" and j - i == 1 and m - k == 1)
-    expected = {(a, b, n, after.count(a)) for (a, b), n in swaps.items() if n >= 2 and a in after}
-    assert expected and {(r.old, r.new, r.instances, r.survivors) for r in queries.diff_sweeps(spark, str(tmp_path)).collect()} == expected
+    far, near, last = ("".join(chr(0x4E00 + k + i) for i in range(400)) for k in (0, 1000, 2000))
+    before, after = f"{far}q{near}q{last}", f"{far}x{near}x{last}q"
+    spark.createDataFrame([(1, 0, "user", before), (1, 1, "bot", after), (2, 0, "user", "alone")], "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {(r.doc_id, r.kind, r.section, r.detail) for r in queries.diff_coverage(spark, str(tmp_path)).collect()}
+    expected = {(1, "uncovered change", "s1", f"{a} -> {b} at {at}") for a, b, at in sequences.uncovered(before, after, [before[:40]], [after[:40]])}
+    assert got == expected and len(expected) >= 2
+    pairs = [(before[i:j], after[k:m]) for op, i, j, k, m in sequences.spans_of(before, after) if op == "replace" and j - i == m - k == 1]
+    expected = {(1, a, b, pairs.count((a, b)), after.count(a)) for a, b in pairs if pairs.count((a, b)) >= 2 and a in after}
+    assert expected and {(r.doc_id, r.old, r.new, r.instances, r.survivors) for r in queries.diff_sweeps(spark, str(tmp_path)).collect()} == expected
+
+
+def page_image(height=900, width=700):
+    rng = np.random.default_rng(0)
+    return np.clip(rng.normal(220, 2, (height, width)), 0, 255).astype(np.uint8)
+
+
+def write_lines(page, x, y, w, lines, level=40, step=24):
+    for k in range(lines):
+        for i in range(x, x + w - 10, 14):
+            page[y + k * step : y + k * step + 13, i : i + 9] = level
+
+
+def test_ink_masks_tell_ink_from_what_shows_through():
+    page = page_image()
+    write_lines(page, 100, 100, 300, 3)
+    page[400:412, 100:108] = 150  # too light to be ink, dark enough to be a mark: the other side
+    page[500:505, 100:130] = 185  # a faint low stroke
+    page[600:700, 300:304] = 185  # a faint tall one: an overlay
+    dark, light = images.ink_masks(page)
+    assert dark[102, 103] and not dark[405, 104] and light[502, 110] and not light[650, 301] and not dark[502, 110]
+    gray = np.tile(np.linspace(120, 230, 700), (900, 1)).astype(np.uint8)
+    assert not images.marks(gray)[50:-50, 50:-50].any()  # a gradient is no mark
+
+
+def test_regions_of_planted_pages():
+    assert images.regions(page_image())["route"] == "blank"
+    assert images.regions(page_image(900, 200))["route"] == "blank" and images.regions(page_image(900, 200))["regions"] == []
+    page = page_image()
+    write_lines(page, 150, 150, 400, 9)
+    write_lines(page, 60, 700, 60, 2)
+    page[:, :4] = 30  # a binding line
+    got = images.regions(page)
+    assert [r["kind"] for r in got["regions"]] == ["main_text", "marginalia"] and got["route"] == "full_page"
+    x, y, w, h = got["regions"][0]["bbox"]
+    assert abs(x - 150) < 30 and abs(y - 150) < 30 and abs(w - 390) < 70 and abs(h - 205) < 70 and got["glyph_height_px"] == 13.0
+    dense = page_image(1500, 1000)
+    write_lines(dense, 150, 100, 700, 55)
+    got = images.regions(dense)
+    assert got["route"] == "segmented" and len(got["regions"]) >= 3 and all(r["est_lines"] <= 20 for r in got["regions"])
+    big = np.kron(page, np.ones((3, 3), np.uint8))
+    small, large = images.regions(page), images.regions(big)
+    assert [r["kind"] for r in large["regions"]] == [r["kind"] for r in small["regions"]]
+    assert all(abs(a - 3 * b) < 40 for r, q in zip(large["regions"], small["regions"], strict=True) for a, b in zip(r["bbox"], q["bbox"], strict=True))
+    yy, xx = np.mgrid[:900, :700]
+    page = page_image()
+    page[np.abs(np.hypot(xx - 350, yy - 600) - 120) < 2.5] = 40
+    write_lines(page, 300, 590, 80, 1)
+    write_lines(page, 150, 150, 400, 5)
+    kinds = {r["kind"]: r for r in images.regions(page)["regions"]}
+    assert set(kinds) == {"main_text", "figure"} or set(kinds) == {"block", "figure"}
+    x, y, w, h = kinds["figure"]["bbox"]
+    assert abs(x - 228) < 6 and abs(y - 478) < 6 and abs(w - 245) < 8 and abs(h - 245) < 8
+
+
+def test_prefix_sums_over_ranges(spark):
+    rnd = random.Random(2)
+    rows = [(i, rnd.uniform(0, 3)) for i in range(400)]
+    d = spark.createDataFrame(rows, "k long, c double").repartition(7)
+    total, expected = 0.0, []
+    for k, c in rows:
+        if total < 100:
+            expected.append(k)
+        total += c
+    assert sorted(r.k for r in ledger.cost_prefix(d, ["k"], "c", 100.0).collect()) == expected
+    unknown = d.withColumn("c", F.when(F.col("k") != 9, F.col("c")))
+    assert sorted(r.k for r in ledger.cost_prefix(unknown, ["k"], "c", 100.0).collect()) == list(range(10))
+    assert ledger.cost_prefix(d.limit(0), ["k"], "c", 1.0).count() == 0
+
+
+def test_closure_has_no_depth(spark):
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(70)] + [("n3", "n1"), ("z", "y")], "src string, dst string")
+    assert line.closure(chain, ["n0"]).count() == 71 and line.closure(chain, ["nowhere"]).count() == 1
+
+
+def test_code_identity(tmp_path):
+    s = line.Station("read", ("image",), "text", run=page_image)
+    other = tmp_path / "x.txt"
+    other.write_text("1")
+    a, b = s.code, line.Station("read", ("image",), "text", run=page_image, sources=(str(other),)).code
+    other.write_text("2")
+    c = line.Station("read", ("image",), "text", run=page_image, sources=(str(other),)).code
+    assert len({a, b, c}) == 3 and a == line.Station("read", ("image",), "text", run=page_image).code and len(a) == 16
+    assert a != line.Station("read", ("image",), "text", variant="v", run=page_image).code != line.Station("read", ("image",), "text").code
+
+
+def test_snapshots(tmp_path):
+    root = tmp_path / "lib"
+    (root / "a/.x").mkdir(parents=True)
+    (root / ".gateway-locks").mkdir()
+    for name, data in (("a/one.json", b"1"), ("a/.x/two", b"\0" * 3_000_000), ("db-wal", b"w"), ("y.lock", b""), (".gateway-locks/p", b"")):
+        (root / name).write_bytes(data)
+    z = tmp_path / "s.zip"
+    assert sinks.create_snapshot(str(root), str(z)) == {"files": 2, "payload_bytes": 3_000_001} == sinks.verify_snapshot(str(z))
+    assert sinks.restore_snapshot(str(z), str(tmp_path / "new"))["files"] == 2 and (tmp_path / "new/a/.x/two").read_bytes() == b"\0" * 3_000_000
+    for bad in (lambda: sinks.create_snapshot(str(root), str(z)), lambda: sinks.create_snapshot(str(root), str(root / "in.zip")), lambda: sinks.restore_snapshot(str(z), str(tmp_path / "new")), lambda: sinks.verify_snapshot(str(root / "a/one.json"))):
+        with pytest.raises(sinks.SnapshotError):
+            bad()
+    import zipfile
+
+    with zipfile.ZipFile(z, "a") as more:
+        more.writestr("extra", "x")
+    with pytest.raises(sinks.SnapshotError):
+        sinks.verify_snapshot(str(z))
+    assert "r00 block" in sinks.preview_html("t & t", [{"page_id": "p", "route": "segmented", "width": 10, "height": 20, "regions": [{"region_id": "r00", "kind": "block", "bbox": [1, 2, 3, 4]}]}])
+
+
+def test_put_file_replaces_in_one_step(tmp_path):
+    uri = f"file://{tmp_path}/d/x.json"
+    sinks.put_json(uri, {"b": "é", "a": 1})
+    sinks.put_json(uri, {"a": 2})
+    assert (tmp_path / "d/x.json").read_text() == '{\n  "a": 2\n}\n' and [p.name for p in (tmp_path / "d").iterdir()] == ["x.json"]
+
+
+def hold(folder, seconds, out):
+    import time
+
+    from quire.plans.gateway import FilePermits
+
+    with FilePermits(folder, {"p": 1}).lease("p/model", 30):
+        out.put("in")
+        time.sleep(seconds)
+
+
+def test_permits_across_processes(tmp_path):
+    import multiprocessing
+    import time
+
+    from quire.plans.gateway import FilePermits
+
+    ctx = multiprocessing.get_context("spawn")
+    out = ctx.Queue()
+    other = ctx.Process(target=hold, args=(str(tmp_path), 1.5, out))
+    other.start()
+    out.get(timeout=60)
+    permits = FilePermits(str(tmp_path), {"p": 1})
+    with pytest.raises(TimeoutError), permits.lease("P", 0.2):
+        pass
+    began = time.time()
+    with permits.lease("p", 30):
+        assert time.time() - began > 0.3
+    with permits.lease("other", 1), permits.lease("other", 1):
+        pass
+    other.join()
+
+
+def test_commands(spark, tmp_path, capsys, monkeypatch):
+    from quire import cli
+
+    monkeypatch.setattr("quire.session.session", lambda *a, **k: spark)
+    source = tmp_path / "s.jsonl"
+    source.write_text("".join(json.dumps({"source_key": f"k{i}", "record": {"manifest_url": f"u{i}", "access": "open"}}) + "\n" for i in range(5)))
+    said = lambda *args: (cli.main(list(args)), [json.loads(x) for x in capsys.readouterr().out.splitlines()])
+    root = str(tmp_path / "catalog")
+    assert said("catalog", "sync", root, "s", str(source), "--size", "2") == (0, [{"sync_id": 1, "pages": 3, "tombstoned": 0}])
+    assert said("catalog", "stats", root)[1] == [{"sources": 1, "records": 5, "active": 5, "tombstoned": 0}]
+    assert [r["source_key"] for r in said("survey", "select", root, "s", "--after", "k2")[1]] == ["k3", "k4"]
+    record = said("catalog", "records", root, "s", "--limit", "1")[1][0]["record_id"]
+    assert said("catalog", "record", root, record)[1][0]["source_key"] == "k0"
+    (tmp_path / "lib").mkdir()
+    (tmp_path / "lib/x").write_text("x")
+    assert said("snapshot", "create", str(tmp_path / "lib"), str(tmp_path / "z.zip"))[1] == [{"files": 1, "payload_bytes": 1}]
+    with pytest.raises(SystemExit):
+        cli.main(["nothing"])
