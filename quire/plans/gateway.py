@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import json
+import os
+import re
 import subprocess
 import sys
 import threading
@@ -94,6 +96,42 @@ class Permits:
             gate.release()
 
 
+class FilePermits(Permits):
+    """At most so many calls at once for each provider over all processes that share a folder: a permit is a lock on one of its files.
+
+    Threads of one process contend for the process's own permits first. A process that ends gives its locks back.
+    """
+
+    def __init__(self, folder: str, most: Mapping[str, int], default: int = 3, poll: float = 0.05):
+        super().__init__(most, default)
+        self.folder, self.poll = folder, poll
+
+    @contextlib.contextmanager
+    def lease(self, provider: str, wait: float = 120.0) -> Iterator[None]:
+        import fcntl
+
+        name = re.sub(r"[^a-z0-9_-]+", "_", provider.strip().partition("/")[0].lower()) or "_"
+        until = time.monotonic() + wait
+        os.makedirs(self.folder, exist_ok=True)
+        with super().lease(name, wait):
+            while True:
+                for i in range(self.most.get(name, self.default)):
+                    fd = os.open(f"{self.folder}/{name}.{i}.lock", os.O_RDWR | os.O_CREAT, 0o666)
+                    try:
+                        fcntl.flock(fd, fcntl.LOCK_EX | fcntl.LOCK_NB)
+                    except OSError:
+                        os.close(fd)
+                        continue
+                    try:
+                        yield
+                    finally:
+                        os.close(fd)
+                    return
+                if time.monotonic() >= until:
+                    raise TimeoutError(f"no permit for {provider}")
+                time.sleep(self.poll)
+
+
 @dataclass(frozen=True)
 class Cell:
     """One run of a station: what an executor needs, in JSON."""

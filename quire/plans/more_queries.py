@@ -88,10 +88,17 @@ def tuning_verdicts(spark, sf):
     return readers.tuning(pages, regions, d.where(k % 4 != 0).select(k.cast("string").alias("page_id"), F.col("n_chars").alias("length"))).select("doc_id", "verdict")
 
 
-@register("envelope_check", "SELECT event_id, 'unknown key k,source_key is missing,record is missing' AS problems FROM events")
+@register(
+    "envelope_check",
+    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'unknown key k,source_key is missing,record is missing' ELSE 'unknown key zz,source_key is missing' END AS problems,
+         CASE WHEN event_id % 3 = 0 THEN 's' || event_id END AS source_key, CASE event_id % 3 WHEN 0 THEN '{"a":' || event_id || '}' WHEN 2 THEN '1' END AS record FROM events""",
+)
 def envelope_check(spark, sf):
-    rows = table(spark, sf, "events").select(F.lit("f").alias("file"), F.col("event_id").alias("line_number"), F.col("props").alias("line"), F.lit(None).cast("string").alias("problem"))
-    return files.envelopes(rows).select(F.col("line_number").alias("event_id"), F.array_join("problems", ",").alias("problems"))
+    k = F.col("event_id")
+    good = F.to_json(F.struct(F.concat(F.lit("s"), k).alias("source_key"), F.struct(k.alias("a")).alias("record")))
+    line = F.when(k % 3 == 0, good).when(k % 3 == 1, F.col("props")).otherwise('{"source_key":"","record":1,"zz":2}')
+    rows = table(spark, sf, "events").select(F.lit("f").alias("file"), k.alias("line_number"), line.alias("line"), F.lit(None).cast("string").alias("problem"))
+    return files.envelopes(rows).select(F.col("line_number").alias("event_id"), F.array_join("problems", ",").alias("problems"), F.nullif("source_key", F.lit("")).alias("source_key"), "record")
 
 
 @register("line_pages", "SELECT event_id, CAST(floor((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) / 100) AS INTEGER) AS page FROM events WHERE event_id > 50")

@@ -267,10 +267,13 @@ def canonical_json(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", exprs.canonical_json(region=F.col("n_regionkey"), key=F.col("n_nationkey"), name=name).alias("json"))
 
 
-@register("clean_lists", "SELECT doc_id, list_distinct(['a', source, lang]) IS NOT NULL AS ok, CAST(CASE WHEN lang = source THEN 2 ELSE 3 END AS INTEGER) AS n FROM documents")
+@register(
+    "clean_lists",
+    "SELECT doc_id, concat_ws(',', 'a', CASE WHEN source <> 'a' THEN source END, CASE WHEN lang <> 'a' AND lang IS DISTINCT FROM source THEN lang END) AS list FROM documents",
+)
 def clean_lists(spark, sf):
     got = exprs.clean_list(F.array(F.lit(" a"), F.col("source"), F.concat(F.col("lang"), F.lit(" ")), F.lit("a ")))
-    return table(spark, sf, "documents").select("doc_id", got.isNotNull().alias("ok"), F.size(got).alias("n"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(got, ",").alias("list"))
 
 
 @register(
@@ -352,10 +355,17 @@ def context_window(spark, sf):
     return rows.select("conv_id", "turn", "previous_id", "next_id", one("left_context").alias("before_text"), one("right_context").alias("after_text"))
 
 
-@register("assemble_text", "SELECT conv_id, string_agg(trim(text), chr(10) || chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+@register(
+    "assemble_text",
+    """WITH c AS (SELECT conv_id, turn, trim(text) AS x, turn % 3 AS m, lead(turn) OVER w AS nxt, lag(turn) OVER w AS prv FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+       SELECT conv_id, string_agg(CASE WHEN prv IS NULL OR (turn - 1) % 3 = 0 THEN '' WHEN (turn - 1) % 3 = 1 THEN ' ' ELSE chr(10) || chr(10) END
+         || CASE WHEN m = 0 AND nxt IS NOT NULL THEN rtrim(x || '-', '-¬') WHEN m = 0 THEN x || '-' ELSE x END, '' ORDER BY turn) AS text FROM c GROUP BY conv_id""",
+)
 def assemble_text(spark, sf):
-    pages = table(spark, sf, "conversations").withColumn("page_id", F.col("turn"))
-    joins = spark.createDataFrame([], "conv_id long, from_page long, to_page long, join string")
+    c = table(spark, sf, "conversations")
+    pages = c.select("conv_id", "turn", F.col("turn").alias("page_id"), F.concat("text", F.when(F.col("turn") % 3 == 0, "-").otherwise("")).alias("text"))
+    kind = F.when(F.col("turn") % 3 == 0, "hyphenation_repair").when(F.col("turn") % 3 == 1, "sentence_continuation")
+    joins = c.select("conv_id", F.col("turn").alias("from_page"), (F.col("turn") + 1).alias("to_page"), kind.alias("join")).where("join is not null")
     return sequences.assemble_documents(pages, joins, "conv_id", "turn")
 
 
@@ -404,13 +414,14 @@ def section_span_join(spark, sf):
 @register(
     "join_problems",
     """WITH p AS (SELECT conv_id, turn AS from_page, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS to_page FROM conversations)
-       SELECT conv_id, turn AS from_page, turn + 2 AS to_page, 'not neighbours' AS problem FROM conversations WHERE turn % 2 = 0""",
+       SELECT conv_id, turn AS from_page, turn + 2 AS to_page, 'not neighbours' AS problem FROM conversations WHERE turn % 2 = 0
+       UNION ALL SELECT conv_id, from_page, to_page, 'declared twice' FROM p WHERE to_page % 2 = 1 AND conv_id % 5 = 0""",
 )
 def join_problems(spark, sf):
     c = table(spark, sf, "conversations").withColumn("page_id", F.col("turn"))
     declared = c.where("turn % 2 = 0").select("conv_id", F.col("turn").alias("from_page"), (F.col("turn") + 2).alias("to_page"))
     good = c.where("turn % 2 = 1").select("conv_id", (F.col("turn") - 1).alias("from_page"), F.col("turn").alias("to_page"))
-    return sequences.join_problems(c, declared.unionByName(good), "conv_id", "turn")
+    return sequences.join_problems(c, declared.unionByName(good).unionByName(good.where("conv_id % 5 = 0")), "conv_id", "turn")
 
 
 @register("excerpts", "SELECT item_id, CASE WHEN length(text) <= 100 THEN text ELSE CASE WHEN contains(substr(text, 1, 100), ' ') THEN regexp_extract(substr(text, 1, 100), '(?s)^(.*) ', 1) ELSE substr(text, 1, 99) END || '…' END AS excerpt FROM benchmark")
@@ -433,9 +444,20 @@ def _turn_pairs(spark, sf):
     return table(spark, sf, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("section"), F.lag("text").over(w).alias("before"), F.col("text").alias("after")).where("before is not null")
 
 
+def _emended(spark, sf):
+    """Conversations as emended manuscripts: each turn's text is the reading of the turn before; entries anchor what follows."""
+    s = F.concat(F.lit("s"), F.col("section"))
+    rows = F.sort_array(F.collect_list(F.struct("section", s.alias("heading"), "before", "after")))
+    d = _turn_pairs(spark, sf).groupBy("doc_id").agg(rows.alias("r"))
+    side = lambda name: F.transform("r", lambda x: F.struct(x["heading"].alias("heading"), x[name].alias("text")))
+    evidence = F.when(F.col("doc_id") % 3 == 0, "parallel reading").otherwise("Parallel: work · 3")
+    entry = lambda x: F.struct(x["heading"].alias("section"), F.substring(x["before"], 1, 40).alias("original"), F.substring(x["after"], 1, 40).alias("emended"), evidence.alias("evidence"))
+    return d.select("doc_id", side("before").alias("manuscript"), side("after").alias("sections"), F.transform("r", entry).alias("apparatus"))
+
+
 @register("diff_coverage")
 def diff_coverage(spark, sf):
-    return sequences.coverage_failures(_turn_pairs(spark, sf).withColumn("anchors", F.array(F.substring("after", 1, 40))))
+    return sequences.coverage_failures(_emended(spark, sf))
 
 
 @register("diff_sweeps")
@@ -464,10 +486,10 @@ def json_field(spark, sf):
 @register(
     "manifest_flatten",
     """SELECT l_orderkey AS doc_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS INTEGER) AS position, 'http://i/' || l_partkey || '/full/max/0/default.jpg' AS url
-       FROM lineitem WHERE l_orderkey % 20 = 3""",
+       FROM lineitem""",
 )
 def manifest_flatten(spark, sf):
-    i = table(spark, sf, "lineitem").where("l_orderkey % 20 = 3")
+    i = table(spark, sf, "lineitem")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     rows = F.sort_array(F.collect_list(F.struct(*order)))
     canvas = F.transform(rows, lambda x: F.concat(F.lit('{"@id":"c","images":[{"resource":{"service":{"@id":"http://i/'), x["l_partkey"].cast("string"), F.lit('"}}}]}')))
@@ -497,14 +519,14 @@ def xml_leaf_fields(spark, sf):
 
 
 def _boxes(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors as boxes: 20 pages, places and sizes from the first components."""
+    """Vectors as boxes: 25 a page, places and sizes from the first components."""
     e = F.col("embedding")
     at = lambda i, k: (F.round(F.element_at(e, i).cast("double") * k, 3)).alias
     size = lambda i: F.abs(F.round(F.element_at(e, i).cast("double") * 20, 3)) + 1
-    return table(spark, sf, "embeddings").select((F.col("vec_id") % 20).alias("page"), F.col("vec_id").alias("box_id"), at(1, 1000)("x"), at(2, 1000)("y"), size(3).alias("w"), size(4).alias("h"))
+    return table(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / 25).alias("page"), F.col("vec_id").alias("box_id"), "label", at(1, 1000)("x"), at(2, 1000)("y"), size(3).alias("w"), size(4).alias("h"))
 
 
-_BOXES = """(SELECT vec_id % 20 AS page, vec_id AS box_id, round(CAST(embedding[1] AS DOUBLE) * 1000, 3) AS x, round(CAST(embedding[2] AS DOUBLE) * 1000, 3) AS y,
+_BOXES = """(SELECT vec_id // 25 AS page, vec_id AS box_id, label, round(CAST(embedding[1] AS DOUBLE) * 1000, 3) AS x, round(CAST(embedding[2] AS DOUBLE) * 1000, 3) AS y,
   abs(round(CAST(embedding[3] AS DOUBLE) * 20, 3)) + 1 AS w, abs(round(CAST(embedding[4] AS DOUBLE) * 20, 3)) + 1 AS h FROM embeddings)"""
 _REGISTERS = f"""(SELECT page, box_id, x, y, w, h, CAST(sum(new) OVER (PARTITION BY page ORDER BY y, box_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS register FROM (
   SELECT *, CASE WHEN y - max(y + h) OVER (PARTITION BY page ORDER BY y, box_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 1.8 * median(h) OVER (PARTITION BY page) THEN 1 ELSE 0 END AS new FROM {_BOXES}))"""
@@ -549,13 +571,13 @@ def region_spatial_join(spark, sf):
 
 @register(
     "figure_anti_join",
-    f"""WITH b AS {_BOXES}, f AS (SELECT page, x - 5 AS x, y - 5 AS y, w * 30 AS w, h * 30 AS h FROM {_BOXES} WHERE box_id < 60)
+    f"""WITH b AS {_BOXES}, f AS (SELECT page, x - 5 AS x, y - 5 AS y, w * 30 AS w, h * 30 AS h FROM {_BOXES} WHERE label = 0)
         SELECT page, box_id FROM b WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.page = b.page AND
           greatest(least(b.x + b.w, f.x + f.w) - greatest(b.x, f.x), 0) * greatest(least(b.y + b.h, f.y + f.h) - greatest(b.y, f.y), 0) >= 0.7 * b.w * b.h)""",
 )
 def figure_anti_join(spark, sf):
     b = _boxes(spark, sf)
-    figures = b.where("box_id < 60").selectExpr("page", "x - 5 as x", "y - 5 as y", "w * 30 as w", "h * 30 as h")
+    figures = b.where("label = 0").selectExpr("page", "x - 5 as x", "y - 5 as y", "w * 30 as w", "h * 30 as h")
     return geometry.outside_figures(b, figures, ["page"]).select("page", "box_id")
 
 
@@ -563,7 +585,19 @@ def _corners(spark, sf):
     return _boxes(spark, sf).selectExpr("page", "box_id", "x as x0", "y as y0", "x + w * 20 as x1", "y + h * 20 as y1", "round(abs(x) % 1, 2) as score")
 
 
-@register("nms")
+@register(
+    "nms",
+    f"""WITH RECURSIVE b AS (SELECT page, box_id, x AS x0, y AS y0, x + w * 20 AS x1, y + h * 20 AS y1, round(abs(x) % 1, 2) AS score FROM {_BOXES}),
+       r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY score DESC, box_id DESC) AS k FROM b),
+       g AS (
+         SELECT page, k, [{{'box_id': box_id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}}] AS kept FROM r WHERE k = 1
+         UNION ALL SELECT g.page, r.k, CASE WHEN len(list_filter(g.kept, lambda q: greatest(least(q.x1, r.x1) - greatest(q.x0, r.x0), 0) * greatest(least(q.y1, r.y1) - greatest(q.y0, r.y0), 0)
+             > 0.3 * ((q.x1 - q.x0) * (q.y1 - q.y0) + (r.x1 - r.x0) * (r.y1 - r.y0) - greatest(least(q.x1, r.x1) - greatest(q.x0, r.x0), 0) * greatest(least(q.y1, r.y1) - greatest(q.y0, r.y0), 0)))) = 0
+           THEN list_append(g.kept, {{'box_id': r.box_id, 'x0': r.x0, 'y0': r.y0, 'x1': r.x1, 'y1': r.y1}}) ELSE g.kept END
+         FROM g JOIN r ON r.page = g.page AND r.k = g.k + 1
+       ), last AS (SELECT page, arg_max(kept, k) AS kept FROM g GROUP BY page)
+       SELECT page, kept[i].box_id AS box_id, CAST(i - 1 AS INTEGER) AS rank FROM last, unnest(range(1, len(kept) + 1)) u(i)""",
+)
 def nms(spark, sf):
     return geometry.non_maximum_suppression(_corners(spark, sf), "page", 0.3)
 
@@ -583,10 +617,15 @@ def column_stats(spark, sf):
 # Contracts, integrity, publication ------------------------------------------------------------------------------------------
 
 
-@register("payload_contract", "SELECT event_id, CASE WHEN json_extract(props, '$.z') IS NULL THEN 'missing z;doc_id is malformed' END AS problems FROM events")
+@register(
+    "payload_contract",
+    "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'not an object' WHEN 1 THEN 'missing z;doc_id is malformed' WHEN 2 THEN 'doc_id is malformed' ELSE '' END AS problems FROM events",
+)
 def payload_contract(spark, sf):
-    problems = contracts.payload_problems(F.col("props"), ["k", "z"])
-    return table(spark, sf, "events").select("event_id", F.array_join(problems, ";").alias("problems"))
+    k = F.col("event_id") % 4
+    named = lambda doc: F.to_json(F.struct(F.lit(1).alias("k"), F.lit(2).alias("z"), F.lit(doc).alias("doc_id")))
+    payload = F.when(k == 0, "[1]").when(k == 1, F.col("props")).when(k == 2, named("Ab c")).otherwise(named("ab_1"))
+    return table(spark, sf, "events").select("event_id", F.array_join(contracts.payload_problems(payload, ["k", "z"]), ";").alias("problems"))
 
 
 @register("page_list_contract", "SELECT l_orderkey AS doc_id, 'page_id repeats' AS problem FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) GROUP BY l_orderkey")
@@ -597,16 +636,28 @@ def page_list_contract(spark, sf):
 
 @register(
     "book_order_check",
-    """SELECT DISTINCT l_orderkey AS doc_id FROM (SELECT l_orderkey, l_partkey, lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS before FROM lineitem) WHERE before >= l_partkey""",
+    """WITH f AS (SELECT l_orderkey AS d, l_partkey AS o, l_returnflag AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS rn FROM lineitem),
+       e AS (SELECT DISTINCT d, s FROM f), a AS (SELECT DISTINCT d, 'A' AS s FROM f UNION SELECT DISTINCT d, 'N' FROM f WHERE d % 2 = 0)
+       SELECT d AS doc_id, 'folio orders do not increase' AS problem FROM (SELECT d, o, lag(o) OVER (PARTITION BY d ORDER BY rn) AS b FROM f) WHERE b >= o
+       UNION SELECT d, 'section numbers are not 1 to n' FROM e WHERE d % 5 = 0 UNION SELECT d, 'section cites an unknown folio' FROM e WHERE d % 7 = 0
+       UNION SELECT d, 'section folios are out of order' FROM (SELECT d, o, lag(o) OVER (PARTITION BY d, s ORDER BY rn) AS b FROM f) WHERE b > o
+       UNION SELECT d, 'apparatus entry is cited twice' FROM e WHERE d % 11 = 0 UNION SELECT d, 'unknown apparatus entry is cited' FROM (SELECT * FROM e EXCEPT SELECT * FROM a)
+       UNION SELECT d, 'apparatus entry is not cited' FROM (SELECT * FROM a EXCEPT SELECT * FROM e) UNION SELECT d, 'colophon pages differ from the folios' FROM e WHERE d % 13 = 0
+       UNION SELECT d, 'colophon cost does not hold' FROM e WHERE d % 17 = 0""",
 )
 def book_order_check(spark, sf):
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    w = Window.partitionBy("l_orderkey").orderBy(*order)
-    f = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("position"), F.col("l_partkey").alias("order"), F.row_number().over(w).cast("string").alias("folio_id"))
-    none = f.limit(0)
-    sections = none.selectExpr("doc_id", "'' as section_id", "1 as number", "array('') as folio_ids", "array('') as apparatus_ids")
-    found = contracts.book_problems(f, sections, none.selectExpr("doc_id", "'' as entry_id"))
-    return found.where("problem = 'folio orders do not increase'").select("doc_id")
+    w, d = Window.partitionBy("l_orderkey").orderBy(*order), F.col("doc_id")
+    f = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("position"), F.col("l_partkey").alias("order"), F.row_number().over(w).cast("string").alias("folio_id"), F.col("l_returnflag").alias("section_id"))
+    ids = F.transform(F.sort_array(F.collect_list(F.struct("position", "folio_id"))), lambda x: x["folio_id"])
+    none = F.array().cast("array<string>")
+    s = f.groupBy("doc_id", "section_id").agg(F.concat(ids, F.when(F.first("doc_id") % 7 == 0, F.array(F.lit("x"))).otherwise(none)).alias("folio_ids"))
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("section_id")) + F.when(d % 5 == 0, 1).otherwise(0)
+    s = s.select("doc_id", "section_id", number.alias("number"), "folio_ids", F.concat(F.array("section_id"), F.when(d % 11 == 0, F.array("section_id")).otherwise(none)).alias("apparatus_ids"))
+    docs = f.groupBy("doc_id").agg(F.count("*").alias("n"))
+    entries = docs.select("doc_id", F.explode(F.when(d % 2 == 0, F.array(F.lit("A"), F.lit("N"))).otherwise(F.array(F.lit("A")))).alias("entry_id"))
+    colophon = docs.select("doc_id", (F.col("n") + F.when(d % 13 == 0, 1).otherwise(0)).alias("pages"), F.when(d % 17 != 0, 1.0).alias("cost_usd"), F.lit(True).alias("cost_complete"))
+    return contracts.book_problems(f, s, entries, colophon)
 
 
 @register("apparatus_set_check", "(SELECT o_custkey AS id, 'right' AS side FROM orders WHERE o_custkey % 3 <> 0 EXCEPT ALL SELECT c_custkey, 'right' FROM customer) UNION ALL (SELECT c_custkey, 'left' FROM customer EXCEPT ALL SELECT o_custkey, 'left' FROM orders WHERE o_custkey % 3 <> 0)")
@@ -689,4 +740,4 @@ def plan_closure(spark, sf):
     return line.closure(edges, ["0"])
 
 
-from quire.plans import more_queries  # noqa: E402, F401  (registers them too)
+from quire.plans import evidence_queries, more_queries  # noqa: E402, F401  (register them too)

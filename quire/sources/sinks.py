@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import io
 import json
+import os
+import shutil
 import uuid
 import zipfile
 from collections.abc import Mapping, Sequence
@@ -79,6 +82,105 @@ def snapshot_problems(manifest: DataFrame, members: DataFrame) -> DataFrame:
     return j.select("path", problem.alias("problem")).where("problem is not null")
 
 
+class SnapshotError(Exception):
+    """A snapshot that cannot be made, or does not hold."""
+
+
+def _digest(file: Any) -> tuple[int, str]:
+    """Size and sha256 of an open file, in parts."""
+    h, n = hashlib.sha256(), 0
+    while part := file.read(1 << 20):
+        h.update(part)
+        n += len(part)
+    return n, h.hexdigest()
+
+
+def create_snapshot(root: str, archive: str) -> dict[str, Any]:
+    """All files below a local root but locks and journals as one ZIP with a manifest, in one step; then verified.
+
+    A snapshot is one file by nature, so the driver writes it, in parts of bounded size.
+    """
+    root, archive = os.path.realpath(root), os.path.realpath(archive)
+    if not os.path.isdir(root) or os.path.exists(archive) or os.path.commonpath([root, archive]) == root:
+        raise SnapshotError("the root must be a folder, and the archive a new file outside it")
+    paths = sorted(os.path.relpath(os.path.join(d, f), root).replace(os.sep, "/") for d, _, files in os.walk(root) for f in files)
+    paths = [p for p in paths if not p.startswith(".gateway-locks/") and not p.endswith(("-shm", "-wal", "-journal", ".lock"))]
+    temporary, records = f"{archive}.{uuid.uuid4().hex}.tmp", []
+    try:
+        with zipfile.ZipFile(temporary, "w") as z:
+            for p in paths:
+                with open(os.path.join(root, p), "rb") as source:
+                    size, sha = _digest(source)
+                    source.seek(0)
+                    with z.open(zipfile.ZipInfo(p), "w", force_zip64=True) as member:
+                        shutil.copyfileobj(source, member, 1 << 20)
+                records.append({"path": p, "bytes": size, "sha256": sha})
+            z.writestr("snapshot.json", json.dumps({"schema_version": 1, "files": records}, sort_keys=True))
+        os.replace(temporary, archive)
+    finally:
+        if os.path.exists(temporary):
+            os.remove(temporary)
+    return verify_snapshot(archive)
+
+
+def verify_snapshot(archive: str) -> dict[str, Any]:
+    """Files and bytes of a snapshot whose members are exactly those of its manifest, with equal sizes and digests."""
+    try:
+        z = zipfile.ZipFile(archive)
+    except (zipfile.BadZipFile, OSError) as e:
+        raise SnapshotError(str(e)) from e
+    with z:
+        names = z.namelist()
+        unsafe = [n for n in names if n.startswith("/") or "\\" in n or ".." in n.split("/") or n.endswith("/")]
+        if len(set(names)) < len(names) or unsafe or "snapshot.json" not in names:
+            raise SnapshotError("members repeat, are unsafe or lack the manifest")
+        records = json.loads(z.read("snapshot.json"))["files"]
+        if {r["path"] for r in records} | {"snapshot.json"} != set(names) or len(records) + 1 != len(names):
+            raise SnapshotError("members and manifest differ")
+        for r in records:
+            with z.open(r["path"]) as member:
+                if _digest(member) != (r["bytes"], r["sha256"]):
+                    raise SnapshotError(f"{r['path']} has changed")
+    return {"files": len(records), "payload_bytes": sum(r["bytes"] for r in records)}
+
+
+def restore_snapshot(archive: str, root: str) -> dict[str, Any]:
+    """A verified snapshot's files below a new root, which appears in one step."""
+    found, root = verify_snapshot(archive), os.path.realpath(root)
+    if os.path.exists(root):
+        raise SnapshotError(f"{root} is there already")
+    staged = f"{root}.{uuid.uuid4().hex}.tmp"
+    try:
+        os.makedirs(staged)
+        with zipfile.ZipFile(archive) as z:
+            for r in json.loads(z.read("snapshot.json"))["files"]:
+                path = os.path.join(staged, *r["path"].split("/"))
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with z.open(r["path"]) as member, open(path, "wb") as out:
+                    shutil.copyfileobj(member, out, 1 << 20)
+                with open(path, "rb") as out:
+                    if _digest(out) != (r["bytes"], r["sha256"]):
+                        raise SnapshotError(f"{r['path']} was not restored")
+        os.replace(staged, root)
+    finally:
+        if os.path.exists(staged):
+            shutil.rmtree(staged)
+    return found
+
+
+def preview_html(title: str, pages: Sequence[Mapping[str, Any]]) -> str:
+    """A page of outlines: each page's size with its regions as labelled boxes (page_id, route, width, height, regions)."""
+    colours, parts = {"main_text": "#2a6", "block": "#26a", "marginalia": "#a62", "figure": "#a26"}, []
+    for p in pages:
+        boxes = "".join(
+            f'<rect x="{x}" y="{y}" width="{w}" height="{h}" fill="none" stroke="{colours.get(r["kind"], "#888")}" stroke-width="4"/><text x="{x + 6}" y="{y + 24}" font-size="22">{html.escape(r["region_id"])} {html.escape(r["kind"])}</text>'
+            for r in p["regions"]
+            for x, y, w, h in [r["bbox"]]
+        )
+        parts.append(f'<figure><figcaption>{html.escape(p["page_id"])}: {html.escape(p["route"])}, {len(p["regions"])} regions</figcaption><svg viewBox="0 0 {p["width"]} {p["height"]}" width="420">{boxes}</svg></figure>')
+    return _page(title, f"<h1>{html.escape(title)}</h1>" + "".join(parts))
+
+
 def _page(title: str, body: str) -> str:
     return f'<?xml version="1.0" encoding="utf-8"?>\n<html xmlns="http://www.w3.org/1999/xhtml"><head><title>{html.escape(title)}</title></head><body>{body}</body></html>'
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from quire.operators import catalog
 
 
+SYNCS = "event_id long, sync_id long, source_id string, status string, cursor string, pages int"
+
+
 class CatalogTables:
     """Versioned Parquet tables of a catalog: a batch writes new folders and then moves a small pointer table ahead.
 
@@ -44,14 +48,68 @@ class CatalogTables:
             return False
         if not catalog.duplicate_keys(page).isEmpty():
             raise ValueError("a key repeats within the page")
-        m = catalog.merge(self.records(), page, sync_id, whole)
+        # The page and the state of its records are read by three writes: they are kept for these.
+        m = catalog.merge(self.records(), page.persist(), sync_id, whole)
         m.records.write.mode("overwrite").parquet(f"{self.root}/records/{version}")
         m.revisions.write.mode("overwrite").parquet(f"{self.root}/revisions/version={version}")
         m.events.write.mode("overwrite").parquet(f"{self.root}/events/version={version}")
         self.spark.range(version, version + 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{self.root}/pointer")
+        page.unpersist()
         return True
 
 
+    def _syncs(self) -> DataFrame:
+        """The latest state of each sync: sync_id, source_id, status, cursor, pages."""
+        try:
+            log = self.spark.read.schema(SYNCS).parquet(f"{self.root}/syncs")
+            log.isEmpty()
+        except Exception as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            log = catalog.empty(self.spark, SYNCS)
+        last = lambda c: F.max_by(c, "event_id").alias(c)
+        return log.groupBy("sync_id").agg(*map(last, ("source_id", "status", "cursor", "pages")))
+
+    def _told(self, sync_id: int, source_id: str, status: str, cursor: str | None, pages: int) -> None:
+        self.spark.createDataFrame([(time.time_ns(), sync_id, source_id, status, cursor, pages)], SYNCS).coalesce(1).write.mode("append").parquet(f"{self.root}/syncs")
+
+    def begin_sync(self, source_id: str) -> tuple[int, str | None, int]:
+        """(sync_id, cursor, pages) of the source's open sync, which then goes on after its cursor, or of a new one."""
+        syncs = self._syncs()
+        open_ = syncs.where((F.col("source_id") == source_id) & (F.col("status") == "running")).orderBy(F.desc("sync_id")).first()
+        if open_ is not None:
+            return open_.sync_id, open_.cursor, open_.pages
+        sync_id = (syncs.agg(F.max("sync_id")).first()[0] or 0) + 1
+        self._told(sync_id, source_id, "running", None, 0)
+        return sync_id, None, 0
+
+    def sync(self, source_id: str, pages: Callable[[str | None], Iterable[tuple[str | None, DataFrame]]]) -> dict[str, int]:
+        """Merges a source's pages, each a cursor and rows, from where its open sync stopped; what the whole lacks becomes a tombstone.
+
+        The keys that a sync has seen are a table of their own, so that tombstones are right after a restart too.
+        """
+        sync_id, cursor, n = self.begin_sync(source_id)
+        seen = f"{self.root}/seen/{sync_id}"
+        for cursor, rows in pages(cursor):
+            rows.select("source_key").write.mode("overwrite").parquet(f"{seen}/page={n}")
+            self.apply(catalog.snapshot(rows, source_id), sync_id, self._pointer())
+            n += 1
+            self._told(sync_id, source_id, "running", cursor, n)
+        keys = self.spark.read.parquet(seen) if n else catalog.empty(self.spark, "source_key string")
+        mine = self.records().where(F.col("source_id") == source_id)
+        gone = mine.where("not tombstoned").join(keys.select("source_key").distinct(), "source_key", "left_anti").select("record_id")
+        version = self._pointer() + 1
+        records = self.records().join(gone.withColumn("_gone", F.lit(True)), "record_id", "left")
+        records = records.withColumn("tombstoned", F.col("tombstoned") | F.coalesce("_gone", F.lit(False))).drop("_gone")
+        events = gone.select("record_id", F.lit(sync_id).cast("long").alias("sync_id"), F.lit("tombstoned").alias("event"))
+        events.write.mode("overwrite").parquet(f"{self.root}/events/version={version}")
+        dead = self.spark.read.schema(catalog.EVENTS).parquet(f"{self.root}/events/version={version}").count()
+        records.write.mode("overwrite").parquet(f"{self.root}/records/{version}")
+        self.spark.range(version, version + 1).select(F.col("id").alias("version")).write.mode("append").parquet(f"{self.root}/pointer")
+        self._told(sync_id, source_id, "complete", cursor, n)
+        return {"sync_id": sync_id, "pages": n, "tombstoned": dead}
+
+
 def sync_stream(pages: DataFrame, tables: CatalogTables, source_id: str, sync_id: int, checkpoint: str):
     """A query that merges a stream of source rows; tombstones follow in one batch step after the last page (end_snapshot)."""
 

@@ -116,4 +116,4 @@ def test_archives(spark):
 def test_cli(capsys):
     assert cli.main(["queries"]) == 0
     assert "stage_state_latest" in capsys.readouterr().out
-    assert cli.build_parser().parse_args(["records", "r", "s"]).limit == 100
+    assert cli.build_parser().parse_args(["catalog", "records", "r", "s"]).limit == 100
