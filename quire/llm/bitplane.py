@@ -246,8 +246,6 @@ def write(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int, bit
                         yield close()
         if out.docs:
             yield close()
-        if encoder.cache is not None:
-            encoder.cache.forget()
 
     manifest = rows.mapInArrow(tidy(run), "shard int, file int, uri string, n_docs long, n_ids long")
     return stored(spark, manifest, "token-manifest")
