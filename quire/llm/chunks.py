@@ -204,8 +204,11 @@ class PieceCache:
             _, one, of = np.unique((a[new] * _A) ^ (b[new] * _B), return_index=True, return_inverse=True)
             if (a[new][one][of] != a[new]).any() or (b[new][one][of] != b[new]).any():
                 _, one = np.unique(np.column_stack([a[new], b[new]]), axis=0, return_index=True)
+            bits = self.bits
             if not self._for(len(one)):
                 return self.encode(data, bounds)
+            if self.bits != bits:  # a larger table has other places
+                place = self._find(a, b)
             one = new[one]
             ids, first, count = self._encoded(raw, own[one], own_sizes[one])
             self._room(len(ids))

@@ -94,6 +94,21 @@ def test_what_is_remembered_is_bounded_in_bytes():
         assert cache.taken <= 0.6 * cache.places and cache.places == 256
 
 
+def test_known_pieces_are_found_again_when_the_table_grows():
+    cache, _ = plain_cache()
+    texts = [[f" w{j}" for j in range(n)] for n in (100, 3000, 12_000)]
+    for t in texts:
+        before = cache.bits
+        assert rows_of(cache, t) == rows_of(plain_cache()[0], t)
+    assert cache.bits > before > 12
+
+
+def batches_that_grow():
+    """Texts in three batches; all words of a batch come again in the next one, among many more."""
+    words = ["".join(chr(97 + j // 26**k % 26) for k in range(3)) for j in range(12_000)]
+    return [[" ".join(words[i:n:10]) for i in range(10)] for n in (100, 3000, 12_000)]
+
+
 def test_long_texts_are_cut_where_pieces_end():
     for text in ("ab cd. " * 5000, "x" * 20_000, "x" * 9000 + " y" * 9000, " " * 9000 + "z" * 100):
         data = np.frombuffer(text.encode(), np.uint8)
@@ -167,3 +182,13 @@ def test_null_and_repeated_ids(spark):
     rows = bitplane.read(spark, bitplane.write(spark, d, JSON, 0)).orderBy("start").collect()
     assert [r.doc_id for r in rows] == [None, 1, 2, 2]
     assert [len(bytes(r.ids)) // 4 for r in rows] == [2, 1, 2, 2]
+
+
+def test_token_encoder_equals_library_over_batches():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    encoder, library = bitplane.Encoder(JSON), Tokenizer.from_file(JSON)
+    for texts in batches_that_grow():
+        got = [x for _, _, ids, count in encoder.encode(pa.array(texts)) for x in np.split(ids, np.cumsum(count)[:-1])]
+        assert [x.tolist() for x in got] == [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
