@@ -192,3 +192,13 @@ def test_token_encoder_equals_library_over_batches():
     for texts in batches_that_grow():
         got = [x for _, _, ids, count in encoder.encode(pa.array(texts)) for x in np.split(ids, np.cumsum(count)[:-1])]
         assert [x.tolist() for x in got] == [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_tree_equals_library_over_batches(reference):
+    import pyarrow as pa
+
+    fresh = bpe_tree.TreeBpe.load(VOCABULARY, public_tokenizers.PATTERN)
+    for texts in batches_that_grow():
+        got = [x for _, _, ids, count in fresh.cache.encode_column(pa.array(texts), 1 << 20) for x in np.split(ids, np.cumsum(count)[:-1])]
+        assert [x.tolist() for x in got] == [reference.encode_ordinary(x) for x in texts]
+        assert [fresh.decode(x) for x in got] == [x.encode() for x in texts]
