@@ -55,6 +55,13 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
 
 
+def rounded(value: Column, places: int) -> Column:
+    """value rounded in binary, as value times 10^places, halves away from zero; F.round goes by the value's shortest decimal digits."""
+    scaled = F.abs(value) * F.lit(10.0**places)
+    whole = F.floor(scaled)
+    return F.signum(value) * (whole + F.when(scaled - whole >= 0.5, 1).otherwise(0)) / F.lit(10.0**places)
+
+
 def squash(text: Column) -> Column:
     """Without any white space, in the Unicode sense."""
     return F.regexp_replace(text, r"(?U)\s", "")

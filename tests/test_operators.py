@@ -1,5 +1,6 @@
 import difflib
 import json
+import math
 import random
 
 import numpy as np
@@ -204,6 +205,13 @@ def test_diffs(spark):
 
 def test_suppression_ties_and_regions(spark):
     boxes = [(0, 0, 10, 10), (0, 0, 10, 10), (20, 0, 30, 10), (1, 0, 11, 10)]
+def test_scores_are_rounded_in_binary(spark):
+    values = [0.0, 0.004999999999999999, 0.115, 0.285, 0.125, 0.145, 1.005, 35.855 % 1, 0.49499999999999994, -0.125, 0.575]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", exprs.rounded(F.col("v"), 2).alias("r")).collect()
+    away = lambda y: math.floor(y) + (y - math.floor(y) >= 0.5)
+    assert {r.i: r.r for r in rows} == {i: math.copysign(away(abs(v) * 100.0), v) / 100.0 for i, v in enumerate(values)}
+
+
     assert geometry.suppress(boxes, [0.5, 0.5, 0.9, 0.4], 0.5) == [2, 1]
     points = spark.createDataFrame([(1, 0, 5.0, 5.0), (2, 0, 99.0, 5.0)], "point_id int, page int, cx double, cy double")
     regions = spark.createDataFrame([(0, 0, 0.0, 0.0, 10.0, 10.0), (1, 0, 4.0, 4.0, 6.0, 6.0), (2, 0, 4.0, 4.0, 6.0, 6.0)], "region_id int, page int, x0 double, y0 double, x1 double, y1 double")
