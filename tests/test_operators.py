@@ -205,8 +205,6 @@ def test_diffs(spark):
 # Geometry -----------------------------------------------------------------------------------------------------------------
 
 
-def test_suppression_ties_and_regions(spark):
-    boxes = [(0, 0, 10, 10), (0, 0, 10, 10), (20, 0, 30, 10), (1, 0, 11, 10)]
 def test_scores_are_rounded_in_binary(spark):
     values = [0.0, 0.004999999999999999, 0.115, 0.285, 0.125, 0.145, 1.005, 35.855 % 1, 0.49499999999999994, -0.125, 0.575]
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", exprs.rounded(F.col("v"), 2).alias("r")).collect()
@@ -214,6 +212,8 @@ def test_scores_are_rounded_in_binary(spark):
     assert {r.i: r.r for r in rows} == {i: math.copysign(away(abs(v) * 100.0), v) / 100.0 for i, v in enumerate(values)}
 
 
+def test_suppression_ties_and_regions(spark):
+    boxes = [(0, 0, 10, 10), (0, 0, 10, 10), (20, 0, 30, 10), (1, 0, 11, 10)]
     assert geometry.suppress(boxes, [0.5, 0.5, 0.9, 0.4], 0.5) == [2, 1]
     points = spark.createDataFrame([(1, 0, 5.0, 5.0), (2, 0, 99.0, 5.0)], "point_id int, page int, cx double, cy double")
     regions = spark.createDataFrame([(0, 0, 0.0, 0.0, 10.0, 10.0), (1, 0, 4.0, 4.0, 6.0, 6.0), (2, 0, 4.0, 4.0, 6.0, 6.0)], "region_id int, page int, x0 double, y0 double, x1 double, y1 double")
@@ -394,6 +394,12 @@ def test_sru(spark):
     assert r.manifest_url == "https://gallica.bnf.fr/iiif/ark:/12148/b1/manifest.json"
 
 
+def test_chunks_estimate_tokens_exactly(spark):
+    # 0.35 * 2,860 are 1,001 tokens, so six chunks; in binary they are a little less, and five.
+    d = spark.createDataFrame([("c", i, n) for i, n in enumerate([2849, *[1] * 11])], "k string, i int, n long")
+    assert [r.chunk for r in sequences.chunks(d, "k", "i", F.col("n"), 200).orderBy("i").collect()] == [i // 2 for i in range(12)]
+
+
 def test_manifests(spark):
     two = {"sequences": [{"canvases": [{"@id": "c1", "label": "f. 1r", "images": [{"resource": {"@id": "http://i/a.jpg"}}, {"resource": {"service": {"@id": "http://i/no"}}}]}, {"@id": "c2", "label": "1r", "images": [{"resource": {"service": [{"@id": "http://i/2/info.json?k=1"}]}}]}]}]}
     three = {"items": [{"type": "Range"}, {"type": "Canvas", "id": "x", "label": {"none": ["fol. 12 V"]}, "items": [{"items": [{"body": {"service": [{"id": "http://i/3/"}]}}]}]}]}
@@ -517,12 +523,6 @@ def test_diff_queries_read_whole_turns(spark, tmp_path):
     assert expected and {(r.doc_id, r.old, r.new, r.instances, r.survivors) for r in queries.diff_sweeps(spark, str(tmp_path)).collect()} == expected
 
 
-def page_image(height=900, width=700):
-    rng = np.random.default_rng(0)
-    return np.clip(rng.normal(220, 2, (height, width)), 0, 255).astype(np.uint8)
-
-
-def write_lines(page, x, y, w, lines, level=40, step=24):
 def test_folios_and_seams_of_queries(spark, tmp_path):
     from quire.plans import evidence_queries, queries
 
@@ -532,6 +532,12 @@ def test_folios_and_seams_of_queries(spark, tmp_path):
     assert {r.turn: r.rest for r in evidence_queries.seam_apply(spark, str(tmp_path)).collect()} == {0: "\n\nef", 1: None}
 
 
+def page_image(height=900, width=700):
+    rng = np.random.default_rng(0)
+    return np.clip(rng.normal(220, 2, (height, width)), 0, 255).astype(np.uint8)
+
+
+def write_lines(page, x, y, w, lines, level=40, step=24):
     for k in range(lines):
         for i in range(x, x + w - 10, 14):
             page[y + k * step : y + k * step + 13, i : i + 9] = level
