@@ -75,12 +75,18 @@ def cuts(data: np.ndarray, heads: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def spans(data: np.ndarray, lo: int, hi: int, most: int) -> Iterator[tuple[int, int]]:
-    """The text data[lo:hi] in spans of about most bytes that end where a piece ends."""
+    """The text data[lo:hi] in spans of about most bytes that end where a piece ends.
+
+    None ends after white space that a visible character follows: without that character the white space would be one match, not two.
+    """
     while hi - lo > 2 * most:
         reach = 1 << 12
         while True:
             at = max(lo, lo + most - reach)
-            found = np.flatnonzero(cuts(data[at : lo + most + 1], np.zeros(0, np.int64), np.array([lo + most + 1 - at]))[1:])
+            near = data[at : lo + most + 1]
+            kind = _KIND[near]
+            blank = (kind == _SPACE) | (kind == _LINE)
+            found = np.flatnonzero(cuts(near, np.zeros(0, np.int64), np.array([len(near)]))[1:] & (blank[1:] | ~blank[:-1]))
             if len(found) or at == lo:
                 break
             reach *= 8

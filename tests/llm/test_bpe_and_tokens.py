@@ -117,6 +117,15 @@ def test_long_texts_are_cut_where_pieces_end():
         assert rows_of(plain_cache()[0], [text], 500) == rows_of(plain_cache()[0], [text])
 
 
+def test_spans_leave_white_space_as_it_is_matched_in_the_whole_text(bpe, reference):
+    import pyarrow as pa
+
+    texts = ["one two.\n\nthree " * 60, "\n" * 50 + "x" * 900, "中 \n\t\n文 é\r\n\r\n" * 60, "a\n\n1\t\t!\n\n\n'x  \n" * 60, " \n" * 300 + "z"]
+    for most in (40, 41, 42, 43, 44, 100, 107):
+        got = [ids.tolist() for _, _, ids, _ in bpe.cache.encode_column(pa.array(texts), most)]
+        assert got == [reference.encode_ordinary(x) for x in texts]
+
+
 def test_decoding_tree(bpe, monkeypatch):
     text = "the thing, 中文 and é " * 300
     ids = np.frombuffer(bpe.encode([text])[0], "<u4")
