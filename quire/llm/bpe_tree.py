@@ -6,7 +6,7 @@ neighbouring tokens are stable when merging their bytes gives the same two token
 encoding of its bytes, so the joined sequence is the one that merging the whole piece would give. What a window merges to is
 remembered, and so are short halves, which many words share; both memories are bounded and emptied when full. Pieces are encoded
 separately, so a text's ids are its pieces' ids in a row. Decoding concatenates up the same tree: runs of ids become bytes at once, and
-halves are put one after the other. No tokenizer library takes part.
+halves are put one after the other. No tokenizer library takes part; letters and numbers are those of Unicode 16, as in the library.
 
 Defined results: null counts as empty; an empty text has no ids and decodes to no bytes; a very long text is encoded in spans that end
 where a piece ends, so only its bytes and ids are held whole; repeated rows, and rows of one id, each give a row; equal texts have
@@ -34,15 +34,33 @@ _SHORT_PART, _MEMORY = 10, 100_000
 #: Ids that a leaf of the decoding tree turns into bytes at once.
 _LEAF_IDS = 1 << 16
 _TASK_BYTES = 1 << 20
+#: Letters and numbers that Unicode has since version 17. The library's classes are those of Unicode 16; the regex module's follow its release.
+_LATER = {
+    "L": (
+        "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 "
+        "10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 "
+        "18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 "
+        "1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+    ),
+    "N": "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6",
+}
+
+
+def _splitter(pattern: str):
+    """The split pattern, compiled; its \\p{L} and \\p{N} have the letters and numbers of Unicode 16."""
+    import regex
+
+    for name, places in _LATER.items():
+        later = "".join("-".join(f"\\U{x:0>8}" for x in r.split("-")) for r in places.split())
+        pattern = pattern.replace(f"\\p{{{name}}}", f"[\\p{{{name}}}--[{later}]]")
+    return regex.compile(pattern, regex.V1)
 
 
 class TreeBpe:
     """Encoder and decoder of one vocabulary of ranks and one split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
-
-        self.ranks, self.split = ranks, regex.compile(pattern)
+        self.ranks, self.split = ranks, _splitter(pattern)
         self.token = {v: k for k, v in ranks.items()}
         #: By the two tokens (their ids in one number): what their bytes merge to.
         self.pairs: dict[int, list[int]] = {}

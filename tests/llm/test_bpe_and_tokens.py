@@ -126,6 +126,20 @@ def test_spans_leave_white_space_as_it_is_matched_in_the_whole_text(bpe, referen
         assert got == [reference.encode_ordinary(x) for x in texts]
 
 
+def test_letters_and_numbers_are_those_of_the_library(bpe, reference):
+    import tiktoken
+
+    signs = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    single = {bytes([i]): i for i in range(256)}
+    for name in (r"\p{L}", r"\p{N}"):
+        library = tiktoken.Encoding("own", pat_str=name, mergeable_ranks=single, special_tokens={})
+        assert "".join(bpe_tree._splitter(name).findall(signs)) == library.decode(library.encode_ordinary(signs))
+    # Letters of Unicode 18 and 17 before one that Unicode 16 has; a merge would go across the border.
+    for text in ("\U0003da76\u645b", "\u5ff1\u042a\U000325b6\u60ab"):
+        ids = np.frombuffer(bpe.encode([text])[0], "<u4")
+        assert ids.tolist() == reference.encode_ordinary(text) and bpe.decode(ids) == text.encode()
+
+
 def test_decoding_tree(bpe, monkeypatch):
     text = "the thing, 中文 and é " * 300
     ids = np.frombuffer(bpe.encode([text])[0], "<u4")
